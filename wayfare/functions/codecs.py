@@ -32,11 +32,11 @@ def _apply_mode(fields: DataFrame, schema: T.StructType, is_valid: Column, mode:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     names = schema.fieldNames()
-    if mode == "quarantine":
-        checked = F.coalesce(is_valid, F.lit(False)).alias("is_valid")
-        return fields.select(*names, "value", checked)
     # A generator is neither pruned nor filtered through: every record is checked, and parsed once
     # even if a filter on a parsed column follows.
+    if mode == "quarantine":
+        checked = F.struct(*names, "value", F.coalesce(is_valid, F.lit(False)).alias("is_valid"))
+        return fields.select(F.inline(F.array(checked)))
     message = F.concat(F.lit("Invalid record: "), F.col("value"))
     record = F.when(is_valid, F.struct(*names)).otherwise(F.raise_error(message))
     return fields.select(F.inline(F.array(record)))

@@ -78,10 +78,18 @@ def euclidean_distance(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -
 def direction_angle(
     start_lon: Column, start_lat: Column, dest_lon: Column, dest_lat: Column
 ) -> Column:
-    """Direction in whole degrees, -1 to 359."""
+    """Direction in whole degrees, -1 to 359.
+
+    Between equal points the angle is that of a zero vector whose sign the cosine decides: half a
+    turn if negative. Spark's ``atan2`` drops the sign of a zero, hence the case of its own.
+    """
     north = (dest_lat - start_lat).cast("double")
-    east = (dest_lon - start_lon).cast("double") * F.cos(start_lat.cast("double"))
-    return to_int_saturating(F.degrees(F.atan2(north, east))) + F.lit(179)
+    stretch = F.cos(start_lat.cast("double"))
+    east = (dest_lon - start_lon).cast("double") * stretch
+    degrees = F.when((north == 0) & (east == 0) & (stretch < 0), F.lit(180.0)).otherwise(
+        F.degrees(F.atan2(north, east))
+    )
+    return to_int_saturating(degrees) + F.lit(179)
 
 
 def distance_to_point(lon: Column | float, lat: Column | float) -> Column:

@@ -151,3 +151,48 @@ def mails(documents: DataFrame) -> DataFrame:
             F.col("text"),
         ).alias("value")
     )
+
+
+def car_records(events: DataFrame) -> DataFrame:
+    """Car events as 23-field source lines with mixed separators and time offsets."""
+    filler = F.lit("x")
+    time = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss")
+    offset = F.when(F.col("speed") == 0, "Z").otherwise("+0000")
+    kept = {
+        0: F.col("car_id"),
+        1: F.col("id"),
+        7: F.col("consumption").cast("string"),
+        9: F.col("speed").cast("string"),
+        12: F.col("throttle").cast("string"),
+        19: F.col("engineload").cast("string"),
+        20: F.col("longitude").cast("string"),
+        21: F.col("latitude").cast("string"),
+        22: F.concat(time, offset),
+    }
+    parts = [kept[0]]
+    for position in range(1, 23):
+        parts += [F.lit("; " if position % 2 else ","), kept.get(position, filler)]
+    return cars(events).select(F.concat(*parts).alias("value"))
+
+
+def unreliable_ride_lines(events: DataFrame) -> DataFrame:
+    """Ride lines of which some are broken, by the type of their event."""
+    start = F.date_format(_start_time(), "yyyy-MM-dd HH:mm:ss")
+    kind = F.col("event_type")
+    parts = [
+        F.col("event_id"),
+        F.when(kind == "error", "STOP").otherwise("START"),
+        start,
+        F.when(kind == "signup", "2024-13-01 00:00:00").otherwise(start),
+        F.lit(""),
+        F.when(kind == "view", " ").otherwise(""),
+        F.lit("-73.95"),
+        F.lit("40.78"),
+        F.when(kind == "purchase", "99999").otherwise("1"),
+        F.col("user_id"),
+        F.col("user_id"),
+    ]
+    line = [parts[0].cast("string")]
+    for part in parts[1:]:
+        line += [F.lit(","), part.cast("string")]
+    return events.select(F.concat(*line, F.lit(",,")).alias("value"))
