@@ -46,8 +46,8 @@ def grid_y(lat: Column) -> Column:
 
 def _floor(value: Column) -> Column:
     # floor() of a double is a bigint in Spark, which raises on NaN and on huge values
-    bounded = F.least(F.greatest(value, F.lit(-4e9)), F.lit(4e9))
-    return F.when(F.isnan(value), value).otherwise(F.floor(bounded).cast("double"))
+    huge = F.isnan(value) | (F.abs(value) > 4e9)
+    return F.when(huge, value).otherwise(F.floor(value).cast("double"))
 
 
 def grid_cell(lon: Column, lat: Column) -> Column:

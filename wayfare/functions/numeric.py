@@ -14,8 +14,12 @@ _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 def to_int_saturating(value: Column) -> Column:
     """Double to int: truncate towards zero, NaN becomes 0, out of range saturates."""
-    clamped = F.least(F.greatest(value, F.lit(float(_INT_MIN))), F.lit(float(_INT_MAX)))
-    return F.when(F.isnan(value), F.lit(0)).otherwise(clamped.cast("int"))
+    return (
+        F.when(F.isnan(value), 0)
+        .when(value <= _INT_MIN, _INT_MIN)
+        .when(value >= _INT_MAX, _INT_MAX)
+        .otherwise(value.cast("int"))
+    )
 
 
 def _wrap(value: Column, bits: int, sql_type: str) -> Column:
