@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wayfare.functions.numeric import to_int_saturating, wrap_int
+from wayfare.functions.numeric import floor_to_int, wrap_int
 
 # Box edges in degrees, grid steps and counts, kilometres per degree.
 LON_EAST = -73.7
@@ -35,19 +35,13 @@ def in_nyc(lon: Column, lat: Column) -> Column:
 def grid_x(lon: Column) -> Column:
     """Grid column, counted eastwards from the west edge."""
     offset = F.lit(-LON_WEST) - F.abs(lon).cast("double")
-    return to_int_saturating(_floor(offset / F.lit(DELTA_LON)))
+    return floor_to_int(offset / F.lit(DELTA_LON))
 
 
 def grid_y(lat: Column) -> Column:
     """Grid row, counted southwards from the north edge."""
     offset = F.lit(LAT_NORTH) - lat.cast("double")
-    return to_int_saturating(_floor(offset / F.lit(DELTA_LAT)))
-
-
-def _floor(value: Column) -> Column:
-    # floor() of a double is a bigint in Spark, which raises on NaN and on huge values
-    huge = F.isnan(value) | (F.abs(value) > 4e9)
-    return F.when(huge, value).otherwise(F.floor(value).cast("double"))
+    return floor_to_int(offset / F.lit(DELTA_LAT))
 
 
 def grid_cell(lon: Column, lat: Column) -> Column:
@@ -80,16 +74,18 @@ def direction_angle(
 ) -> Column:
     """Direction in whole degrees, -1 to 359.
 
-    Between equal points the angle is that of a zero vector whose sign the cosine decides: half a
-    turn if negative. Spark's ``atan2`` drops the sign of a zero, hence the case of its own.
+    Between equal longitudes the eastward part is a zero with the sign of the cosine, which makes
+    half a turn of difference between equal points. Spark's ``atan2`` drops the sign of a zero, so
+    a negative one is replaced by a number too small to matter otherwise.
     """
     north = (dest_lat - start_lat).cast("double")
+    lon_step = dest_lon - start_lon
     stretch = F.cos(start_lat.cast("double"))
-    east = (dest_lon - start_lon).cast("double") * stretch
-    degrees = F.when((north == 0) & (east == 0) & (stretch < 0), F.lit(180.0)).otherwise(
-        F.degrees(F.atan2(north, east))
+    east = F.when((lon_step == 0) & (stretch < 0), F.lit(-1e-300)).otherwise(
+        lon_step.cast("double") * stretch
     )
-    return to_int_saturating(degrees) + F.lit(179)
+    degrees = F.nanvl(F.degrees(F.atan2(north, east)), F.lit(0.0))
+    return degrees.cast("int") + F.lit(179)
 
 
 def distance_to_point(lon: Column | float, lat: Column | float) -> Column:

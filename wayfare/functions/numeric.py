@@ -12,14 +12,22 @@ from pyspark.sql import functions as F
 _INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
 
+def _clamp(value: Column, low: float, high: float) -> Column:
+    return F.least(F.greatest(value, F.lit(low)), F.lit(high))
+
+
 def to_int_saturating(value: Column) -> Column:
     """Double to int: truncate towards zero, NaN becomes 0, out of range saturates."""
-    return (
-        F.when(F.isnan(value), 0)
-        .when(value <= _INT_MIN, _INT_MIN)
-        .when(value >= _INT_MAX, _INT_MAX)
-        .otherwise(value.cast("int"))
-    )
+    # least and greatest skip nulls
+    number = _clamp(F.nanvl(value, F.lit(0.0)), float(_INT_MIN), float(_INT_MAX))
+    return F.when(value.isNotNull(), number.cast("int"))
+
+
+def floor_to_int(value: Column) -> Column:
+    """The same of the floor of a double."""
+    # beyond 4e9 the result saturates anyway, and floor() gives a bigint
+    number = F.floor(_clamp(F.nanvl(value, F.lit(0.0)), -4e9, 4e9))
+    return F.when(value.isNotNull(), _clamp(number, _INT_MIN, _INT_MAX).cast("int"))
 
 
 def _wrap(value: Column, bits: int, sql_type: str) -> Column:

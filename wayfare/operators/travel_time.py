@@ -55,8 +55,10 @@ def fit(features: DataFrame, keys: Sequence[str] = (), mode: str = "failfast") -
     """Sums per key and bucket; a partial aggregate runs before the shuffle."""
     distance, travel_time = F.col("distance"), F.col("travel_time")
     bucketed = features.withColumn("bucket", direction_bucket(F.col("direction"), mode))
+    # in failfast mode only a point without a direction has no bucket
+    known = F.col("bucket" if mode == "quarantine" else "direction").isNotNull()
     return (
-        bucketed.filter(F.col("bucket").isNotNull())
+        bucketed.filter(known)
         .groupBy(*keys, "bucket")
         .agg(
             F.count(F.lit(1)).alias("n"),
