@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from wayfare.session import ensure_checkpoint_dir
 
 #: rows one window task may sort; far beyond what it holds in memory before it spills
-ROWS_PER_TASK = 5_000_000
+ROWS_PER_TASK = 2_000_000
 
 _COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
 

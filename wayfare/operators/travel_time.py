@@ -25,16 +25,17 @@ SMALLEST_SUM_XX = 4.9e-323
 
 def direction_bucket(direction: Column, mode: str = "failfast") -> Column:
     """Bucket 0 to 7 of an angle; anything else is an error, or null in quarantine mode."""
-    bucket = wrap_byte((direction / F.lit(BUCKET_DEGREES)).cast("bigint"))
-    usable = bucket.between(0, BUCKETS - 1)
+    quotient = wrap_byte((direction / F.lit(BUCKET_DEGREES)).cast("bigint"))
+    # picking from a constant array checks the range without repeating the angle's expression
+    buckets = F.array(*(F.lit(bucket) for bucket in range(BUCKETS)))
+    bucket = F.get(buckets, quotient.cast("int"))
     if mode == "quarantine":
-        return F.when(usable, bucket.cast("int"))
+        return bucket
     if mode != "failfast":
         raise ValueError("mode must be 'failfast' or 'quarantine'")
-    message = F.concat(F.lit("No direction bucket for angle "), direction.cast("string"))
-    return F.when(direction.isNull() | usable, bucket.cast("int")).otherwise(
-        F.raise_error(message).cast("int")
-    )
+    angle = F.coalesce(direction.cast("string"), F.lit("null"))
+    message = F.concat(F.lit("No direction bucket for angle "), angle)
+    return F.coalesce(bucket, F.raise_error(message).cast("int"))
 
 
 def ride_features(rides: DataFrame) -> DataFrame:
@@ -53,18 +54,13 @@ def ride_features(rides: DataFrame) -> DataFrame:
 
 def fit(features: DataFrame, keys: Sequence[str] = (), mode: str = "failfast") -> DataFrame:
     """Sums per key and bucket; a partial aggregate runs before the shuffle."""
-    distance, travel_time = F.col("distance"), F.col("travel_time")
     bucketed = features.withColumn("bucket", direction_bucket(F.col("direction"), mode))
-    # in failfast mode only a point without a direction has no bucket
-    known = F.col("bucket" if mode == "quarantine" else "direction").isNotNull()
-    return (
-        bucketed.filter(known)
-        .groupBy(*keys, "bucket")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(distance * distance).alias("sum_xx"),
-            F.sum(distance * travel_time).alias("sum_xy"),
-        )
+    if mode == "quarantine":
+        bucketed = bucketed.filter(F.col("bucket").isNotNull())
+    return bucketed.groupBy(*keys, "bucket").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("distance") * F.col("distance")).alias("sum_xx"),
+        F.sum(F.col("distance") * F.col("travel_time")).alias("sum_xy"),
     )
 
 
@@ -94,7 +90,9 @@ def predict(
     be of any size, and the join strategy is left to the optimizer.
     """
     points = points.withColumn("bucket", direction_bucket(F.col("direction"), mode))
-    model = model.select(*keys, "bucket", "n", "sum_xx", "sum_xy")
+    # never null, so the join adds no null check that would be pushed through the fit
+    model_bucket = F.coalesce("bucket", F.lit(-1)).alias("bucket")
+    model = model.select(*keys, model_bucket, "n", "sum_xx", "sum_xy")
     joined = points.join(model if keys else F.broadcast(model), [*keys, "bucket"], "left")
     prediction = predicted_time(*(F.col(c) for c in ("n", "sum_xx", "sum_xy", "distance")))
     return joined.withColumn("predicted_time", prediction).drop("n", "sum_xx", "sum_xy")

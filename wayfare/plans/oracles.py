@@ -196,7 +196,7 @@ ORACLES: dict[str, str] = {
           from documents
         )
         select md5(mail) as mail_md5, cast(length(mail) as integer) as n_chars from raw""",
-    "decode_ride_messages": f"""
+    "decode_rides": f"""
         with {_RIDES}
         select {_RIDE_COLUMNS},
           case when is_start then start_ms else end_ms end as start_ms,
@@ -229,12 +229,12 @@ ORACLES: dict[str, str] = {
         with {_RIDES}
         select ride_id, is_start from rides
         where {_inside('start_lon', 'start_lat')} and {_inside('end_lon', 'end_lat')}""",
-    "grid_cells": f"""
+    "grid_cell": f"""
         with {_RIDES}
         select ride_id, is_start, {_CELL.format(lon='start_lon', lat='start_lat')} as start_cell,
           {_CELL.format(lon='end_lon', lat='end_lat')} as end_cell
         from rides""",
-    "cell_centers": f"""
+    "cell_center": f"""
         with {_RIDES},
         cells as (
           select ride_id, {_CELL.format(lon='start_lon', lat='start_lat')} as cell from rides
@@ -368,7 +368,7 @@ ORACLES: dict[str, str] = {
           from timed)
         where place = 1""",
     "unique_fares": f"with {_FARES} select * exclude (start_time) from fares",
-    "parsed_mails": f"with {_MAILS} select * from mails",
+    "parse_mails": f"with {_MAILS} select * from mails",
     "distinct_mails": f"with {_MAILS} select * from firsts",
     "mail_lines": f"with {_MAILS} select {_MAIL_LINE} as value from firsts",
     "mail_archive_job": f"with {_MAILS} select {_MAIL_LINE} as value from firsts",

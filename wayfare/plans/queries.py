@@ -31,15 +31,20 @@ POINT = (-73.9857, 40.7484)
 QUERIES: dict[str, Query] = {}
 
 
-def query(function: Query) -> Query:
+def query(function: Query, name: str | None = None) -> Query:
     @wraps(function)
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return function(use_utc(spark), folder)
 
-    QUERIES[function.__name__] = run
+    QUERIES[name or function.__name__] = run
     return run
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    """A query whose name is that of a library function used in here."""
+    return lambda function: query(function, name)
+
+
 def _events(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_table(spark, folder, "events")
 
@@ -113,7 +118,7 @@ def scan_mails(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@named("decode_rides")
 def decode_ride_messages(spark: SparkSession, folder: str) -> DataFrame:
     messages = sinks.encode_rides(_rides(spark, folder))
     return _ride_rows(decode_rides(messages.select(F.col("value").cast("binary"))))
@@ -175,7 +180,7 @@ def nyc_rides(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def grid_cells(spark: SparkSession, folder: str) -> DataFrame:
+def grid_cell(spark: SparkSession, folder: str) -> DataFrame:
     start_lon, start_lat, end_lon, end_lat = _corners()
     return _rides(spark, folder).select(
         "ride_id",
@@ -186,7 +191,7 @@ def grid_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def cell_centers(spark: SparkSession, folder: str) -> DataFrame:
+def cell_center(spark: SparkSession, folder: str) -> DataFrame:
     start_lon, start_lat, _, _ = _corners()
     cells = _rides(spark, folder).select("ride_id", geo.grid_cell(start_lon, start_lat).alias("cell"))
     return cells.select(
@@ -318,7 +323,8 @@ def window_join(spark: SparkSession, folder: str) -> DataFrame:
 def window_join_stream(spark: SparkSession, folder: str) -> DataFrame:
     left = tables.left_tuples(tables.stream_table(spark, folder, "events"))
     right = tables.right_tuples(tables.stream_table(spark, folder, "events"))
-    return jobs.run_to_files(jobs.increment_and_join(left, right, JOIN_WINDOW_MS))
+    joined = jobs.increment_and_join(left, right, JOIN_WINDOW_MS, salts=4)
+    return jobs.run_to_files(joined)
 
 
 @query
@@ -402,7 +408,7 @@ def unique_fares(spark: SparkSession, folder: str) -> DataFrame:
 # -- mails -------------------------------------------------------------------------------------
 
 
-@query
+@named("parse_mails")
 def parsed_mails(spark: SparkSession, folder: str) -> DataFrame:
     return _mails(spark, folder)
 

@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_folder: str | None = None
 
 
@@ -27,6 +29,8 @@ def build_session(app_name: str = "wayfare", master: str | None = None, **conf:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # the state of a stream join is kept on disk, not in the heap of the executors
+        "spark.sql.streaming.stateStore.providerClass": _DISK_STATE,
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     for key, value in settings.items():
@@ -40,8 +44,10 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, where all tasks share one disk, may fall back to a folder of our own.
     """
     global _local_folder
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
+    named = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        or (_local_folder is None and spark.sparkContext.getCheckpointDir())
     )
     if named:
         return named.rstrip("/")
