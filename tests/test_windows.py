@@ -108,6 +108,19 @@ def test_ingestion_time_replaces_an_earlier_stamp(spark):
     assert stamped.filter("event_ts > timestamp'2020-01-01'").count() == 1
 
 
+def test_stream_joined_on_ingestion_time(spark, sides, tmp_path):
+    for name, side in zip(("left", "right"), sides):
+        side.write.parquet(str(tmp_path / name))
+    streams = [
+        spark.readStream.schema(side.schema).parquet(str(tmp_path / name))
+        for name, side in zip(("left", "right"), sides)
+    ]
+    # all rows pass at once, so event times of the data do not matter
+    result = jobs.run_to_files(jobs.ingestion_time_join(*streams, size_ms=3_600_000))
+    pairs = sorted((r.l_tuple_id, r.r_tuple_id) for r in result.collect())
+    assert pairs == [(1, 1), (1, 1), (1, 2), (1, 2), (2, 3), (2, 4), (3, 5)]
+
+
 def test_negative_delay_is_rejected(sides):
     with pytest.raises(ValueError):
         windows.with_watermark(sides[0], "event_ts", -1)

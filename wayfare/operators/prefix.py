@@ -19,6 +19,9 @@ from wayfare.session import ensure_checkpoint_dir
 #: rows one window task may sort; far beyond what it holds in memory before it spills
 ROWS_PER_TASK = 2_000_000
 
+#: Shuffle partitions a cluster handles well; beyond, ranges get longer and their sort spills.
+MOST_RANGES = 20_000
+
 _COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
@@ -40,7 +43,7 @@ def running_before(
         window = Window.partitionBy(*group_by).orderBy(*order_by)
         return _add_running(valued, window, running)
 
-    ranges = max(math.ceil(2 * total / rows_per_task), 2)
+    ranges = min(max(math.ceil(2 * total / rows_per_task), 2), MOST_RANGES)
     ensure_checkpoint_dir(df.sparkSession)
     # Stored, because range bounds are sampled: a second evaluation could cut elsewhere.
     cut = (

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +70,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable without overriding what the cluster chose."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+@contextmanager
+def no_idle_partitions(spark: SparkSession) -> Iterator[None]:
+    """Streams started in here get at most one shuffle partition per core of a local session.
+
+    A stream keeps the number it starts with, without adaptive coalescing, and opens state stores in
+    each. On a cluster the configured number stays.
+    """
+    key = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(key)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(key, min(int(configured), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, configured)

@@ -11,8 +11,8 @@ from wayfare.functions.codecs import fare_event_time, ride_event_time
 from wayfare.functions.mail import parse_mails
 from wayfare.operators import travel_time
 from wayfare.operators.ordering import distinct_mails
-from wayfare.operators.windows import window_join, with_watermark
-from wayfare.session import new_folder, use_utc
+from wayfare.operators.windows import window_join, with_ingestion_time, with_watermark
+from wayfare.session import new_folder, no_idle_partitions, use_utc
 from wayfare.sources.text import read_mail_archive, read_rides
 from wayfare.sources.tuples import increment_value
 from wayfare.streaming import sinks
@@ -39,6 +39,14 @@ def increment_and_join(
     return window_join(increment_value(left), increment_value(right), size_ms, salts)
 
 
+def ingestion_time_join(
+    left: DataFrame, right: DataFrame, size_ms: int = 5000, salts: int = 1
+) -> DataFrame:
+    """The same, with both sides stamped by the time they pass (per micro-batch in a stream)."""
+    stamped = with_ingestion_time(left), with_ingestion_time(right)
+    return increment_and_join(*stamped, size_ms=size_ms, salts=salts)
+
+
 def fan_out_rides(
     spark: SparkSession,
     path: str,
@@ -65,8 +73,9 @@ def run_to_files(stream: DataFrame) -> DataFrame:
     """Run a stream over all that is available, and give the files it wrote as a batch frame."""
     spark = stream.sparkSession
     folder = new_folder(spark, "stream")
-    query = sinks.append_to_files(stream, f"{folder}/out", f"{folder}/checkpoint", True)
-    query.awaitTermination()
+    with no_idle_partitions(spark):
+        query = sinks.append_to_files(stream, f"{folder}/out", f"{folder}/checkpoint", True)
+        query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
@@ -74,8 +83,9 @@ def run_to_latest(stream: DataFrame) -> DataFrame:
     """The same for an aggregate that is replaced with every micro-batch."""
     spark = stream.sparkSession
     folder = new_folder(spark, "stream")
-    query = sinks.replace_in_files(stream, f"{folder}/out", f"{folder}/checkpoint", True)
-    query.awaitTermination()
+    with no_idle_partitions(spark):
+        query = sinks.replace_in_files(stream, f"{folder}/out", f"{folder}/checkpoint", True)
+        query.awaitTermination()
     return sinks.latest_version(spark, f"{folder}/out")
 
 
