@@ -62,15 +62,15 @@ def test_malformed_rides_are_kept_apart(texts):
 
 @pytest.mark.parametrize("line", MALFORMED[:2] + MALFORMED[-1:])
 def test_malformed_rides_fail_the_job(texts, line):
-    with pytest.raises(PySparkException, match="Invalid record"):
+    with pytest.raises(PySparkException, match="Malformed record"):
         codecs.parse_rides(texts(START, line)).collect()
 
 
 def test_failfast_also_fails_when_the_bad_column_is_not_used(texts):
     bad = START.replace(",1,7,8", ",99999,7,8")
-    with pytest.raises(PySparkException, match="Invalid record"):
+    with pytest.raises(PySparkException, match="Malformed record"):
         codecs.parse_rides(texts(bad)).select("ride_id").collect()
-    with pytest.raises(PySparkException, match="Invalid record"):
+    with pytest.raises(PySparkException, match="Malformed record"):
         codecs.parse_rides(texts(bad)).filter("ride_id = 5").count()
 
 

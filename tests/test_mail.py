@@ -96,7 +96,7 @@ def test_unreadable_dates(texts):
     assert only(parse_mails(texts(padded, *bad), "quarantine")).time == "2013-01-03-00:00:07"
     assert {r.value for r in undated_mails(texts(padded, *bad)).collect()} == set(bad)
     for raw in bad:
-        with pytest.raises(PySparkException, match="Invalid mail date"):
+        with pytest.raises(PySparkException, match="Unreadable mail date"):
             parse_mails(texts(raw)).collect()
 
 

@@ -39,7 +39,7 @@ def _apply_mode(fields: DataFrame, schema: T.StructType, is_valid: Column, mode:
     if mode == "quarantine":
         checked = F.struct(*names, "value", F.coalesce(is_valid, F.lit(False)).alias("is_valid"))
         return fields.select(F.inline(F.array(checked)))
-    message = F.concat(F.lit("Invalid record: "), F.col("value"))
+    message = F.concat(F.lit("Malformed record: "), F.col("value"))
     record = F.when(is_valid, F.struct(*names)).otherwise(F.raise_error(message))
     return fields.select(F.inline(F.array(record)))
 

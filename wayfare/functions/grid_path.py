@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 
 from wayfare.functions.geo import GRID_COLUMNS, grid_x, grid_y
 
+# Reach of a diagonal step, and what keeps the slope of an upright way finite.
 TOLERANCE = 0.05
-#: keeps the slope finite for ways within one column
 EPSILON = 0.00000001
 
 #: cells computed at once; bounds the memory of a Python worker, not the length of a way

@@ -61,7 +61,7 @@ def parse_mails(df: DataFrame, mode: str = "failfast", column: str = "value") ->
         raise ValueError("mode must be 'failfast' or 'quarantine'")
     sent = F.col("sent")
     if mode == "failfast":
-        message = F.concat(F.lit("Invalid mail date: "), F.col("date_line"))
+        message = F.concat(F.lit("Unreadable mail date: "), F.col("date_line"))
         sent = F.when(_undated(), F.raise_error(message).cast("timestamp")).otherwise(sent)
     fields = _dated(_split_mail(df, column)).select(
         F.date_format(sent, WRITE_DATE).alias("time"),

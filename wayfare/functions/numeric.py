@@ -46,8 +46,13 @@ def wrap_byte(value: Column) -> Column:
 
 
 def parse_integer(token: Column, sql_type: str) -> Column:
-    """Strict decimal integer (no blanks, no fraction); null when malformed or out of range."""
-    return F.when(token.rlike("^[+-]?[0-9]+$"), token.try_cast(sql_type))
+    """Strict decimal integer (no blanks, no fraction); null when malformed or out of range.
+
+    The cast is as strict, but for blanks around the number: a sign or digit has to come first (they
+    lie between "+" and "9") and a digit last.
+    """
+    first, last = F.left(token, F.lit(1)), F.right(token, F.lit(1))
+    return F.when(first.between("+", "9") & last.between("0", "9"), token.try_cast(sql_type))
 
 
 def parse_float(token: Column) -> Column:
@@ -55,5 +60,11 @@ def parse_float(token: Column) -> Column:
 
     Spark reads a few case-insensitive spellings ("inf", "nan") that the formats reject.
     """
+    number = token.try_cast("float")
+    unusual = F.isnan(number) | number.isin(float("inf"), float("-inf"))
     spelled = token.rlike("[0-9]|NaN|Infinity")
-    return F.when(token == "", F.lit(0.0).cast("float")).when(spelled, token.try_cast("float"))
+    return (
+        F.when(unusual, F.when(spelled, number))
+        .when(token == "", F.lit(0.0).cast("float"))
+        .otherwise(number)
+    )

@@ -27,7 +27,7 @@ def with_ingestion_time(df: DataFrame, column: str = "event_ts") -> DataFrame:
 def with_watermark(df: DataFrame, event_time: str, max_delay_secs: float = 0) -> DataFrame:
     """Allow events to be late by ``max_delay_secs``; has no effect on a batch frame."""
     if max_delay_secs < 0:
-        raise ValueError("Max event delay must be positive")
+        raise ValueError("a delay cannot be negative")
     return df.withWatermark(event_time, f"{round(max_delay_secs * 1000)} milliseconds")
 
 

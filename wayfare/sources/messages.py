@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import codecs
 
+# Topic, and the broker used if none is named.
 RIDES_TOPIC = "rides"
 DEFAULT_BROKER = "kafka:9092"
 
