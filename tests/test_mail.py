@@ -80,6 +80,14 @@ def test_unusable_mails_are_left_out(texts, raw):
     assert parse_mails(texts(raw)).count() == 0
 
 
+def test_very_long_headers_and_bodies(texts):
+    long_header = FIRST + "X: " + "a #|# b: \t" * 200_000 + "\n" + "Y: z\n" * 100_000
+    assert parse_mails(texts(long_header + HEAD)).count() == 0
+    raw = long_header + HEAD + "\n" + "line =\n" * 200_000 + " " * 1_000_000
+    body = only(parse_mails(texts(raw))).body
+    assert body == "\n" + "line " * 200_000 + " " * 1_000_000 + "\n"
+
+
 def test_delimiters_elsewhere_do_no_harm(texts):
     assert parse_mails(texts(FIRST + "X-Other: #|#\n" + HEAD + "\nx")).count() == 1
 

@@ -52,6 +52,41 @@ def test_join_key_contains_the_window(sides):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Adaptive execution as on large data: no broadcast, and partitions soon count as too big."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_hot_key_is_split_in_a_batch(spark, small_splits):
+    ids = spark.range(0, 30_000, 1, 8)
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    left = keyed_tuples(ids, "a", hot, F.col("id"), F.timestamp_seconds(F.lit(0)))
+    right = keyed_tuples(
+        spark.range(0, 30_000, 500, 2), "b", F.col("id"), F.col("id"), F.timestamp_seconds(F.lit(1))
+    )
+    joined = windows.window_join(left, right)
+    pairs = joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    # ids that are no multiple of three meet themselves; the 10,000 others all meet id 0
+    assert len(pairs) == 10_000 + 40
+    assert "skew=true" in plan
+
+
 def stream_of(spark, folder):
     return spark.readStream.schema(
         "source_id string, tuple_id bigint, value bigint, event_ts timestamp"

@@ -38,8 +38,8 @@ EPSILON = 0.00000001
 #: cells computed at once; bounds the memory of a Python worker, not the length of a way
 CELLS_PER_CHUNK = 1_000_000
 #: Any two points on earth are under 300,000 cells apart. Beyond this, coordinates are corrupt, and
-#: the way would not fit one row: that is an error, as shortening it would be a wrong result.
-LONGEST_WAY = 10_000_000
+#: the way may not fit a worker: that is an error, as shortening it would be a wrong result.
+LONGEST_WAY = 1_000_000
 
 
 def grid_path(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
