@@ -24,4 +24,47 @@ select conv_id, count(*) as n_turns,
 from placed group by conv_id
 """
 
-ORACLES: dict[str, str] = {"op3_chat": _OP3}
+_DRAW = "('0x' || substr(md5('20:' || coalesce({}::varchar, '')), 1, 12))::bigint / 281474976710656.0"
+
+_OP8 = rf"""
+with sized as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+    {_DRAW.format('doc_id')} as draw
+  from documents
+), sources as (
+  select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as number,
+    [5, 2, 1][(row_number() over (order by source nulls last) - 1) % 3 + 1] as weight
+  from sized group by source
+), ordered as (
+  select *, 2 * source_size as most, 2 * source_size / weight as room,
+    (1.5e0 * sum(source_size) over () - coalesce(sum(2 * source_size) over (order by 2 * source_size / weight, number
+      rows between unbounded preceding and 1 preceding), 0))
+    / sum(weight) over (order by 2 * source_size / weight, number rows between current row and unbounded following) as level
+  from sources
+), targets as (
+  select *, case when room <= level then most::double
+    else weight * (select first(level order by room, number) from ordered where room > level) end as target
+  from ordered
+), seats as (
+  select number, row_number() over (order by (2 * k + 1) / target, number) as seat
+  from targets, range(0, (select round(sum(target) / 64)::bigint from targets)) t(k)
+  where target > 0 and k <= target / 64 + (select count(*) from targets)
+), quotas as (
+  select number, count(*) as quota from seats
+  where seat <= (select round(sum(target) / 64)::bigint from targets) group by number
+), plan as (
+  select *, quota_ // nullif(blocks, 0) as passes, quota_ % nullif(blocks, 0) as rest,
+    floor(({_DRAW.format('source')}) * blocks)::bigint as first_
+  from (select t.*, ceil(source_size / 64)::bigint as blocks,
+      least(coalesce(quota, 0), 2 * ceil(source_size / 64)::bigint) as quota_ from targets t left join quotas using (number))
+), placed as (
+  select *, (sum(size) over (partition by source order by draw, doc_id, size) - size)::bigint as start_ from sized
+)
+select doc_id, size, source_size, target,
+  (case when size = 0 then 0 else passes * size
+    + greatest(0, least(start_ + size, least((first_ + rest) * 64, source_size)) - greatest(start_, first_ * 64))
+    + least(size, greatest(0, greatest(0, first_ + rest - blocks) * 64 - start_)) end)::bigint as taken
+from placed p join plan on p.source is not distinct from plan.source
+"""
+
+ORACLES: dict[str, str] = {"op3_chat": _OP3, "op8_mixture": _OP8}

@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, pieces, quality
+from wayfare.llm import chat, mixture, pieces, quality, shards
 from wayfare.sources.tables import read_table
 
+SHARDS = 40
+SEED = 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,6 +31,18 @@ def round_trips(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", result.alias("r")).select("doc_id", "r.*")
 
 
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    sizes = read_table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        (F.octet_length(text) + 16).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+    )
+    return shards.interleave(sizes, SHARDS, SEED).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
@@ -53,6 +68,12 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    sizes = documents.select("doc_id", "source", mixture.count_words(F.col("text")).alias("size"))
+    return mixture.taken_words(sizes, SEED).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     model = quality.fit(documents, read_table(spark, sf_dir, "labels"))
@@ -61,6 +82,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_shards": op2_shards,
     "op3_chat": op3_chat,
+    "op8_mixture": op8_mixture,
     "op9_quality": op9_quality,
 }
