@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, mixture, pieces, quality, shards
+from wayfare.llm import chat, mixture, pieces, quality, shards, simhash
 from wayfare.sources.tables import read_table
 
 SHARDS = 40
@@ -68,6 +68,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     sizes = documents.select("doc_id", "source", mixture.count_words(F.col("text")).alias("size"))
@@ -84,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_shards": op2_shards,
     "op3_chat": op3_chat,
+    "op4_simhash": op4_simhash,
     "op8_mixture": op8_mixture,
     "op9_quality": op9_quality,
 }
