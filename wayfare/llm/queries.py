@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, mixture, pieces, quality, shards, simhash
+from wayfare.llm import chat, mixture, pieces, quality, shards, simhash, substrings
 from wayfare.sources.tables import read_table
 
 SHARDS = 40
@@ -84,6 +84,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(documents, model).select("doc_id", "quality_rules.*")
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.kept_digests(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_shards": op2_shards,
@@ -91,4 +95,5 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op8_mixture": op8_mixture,
     "op9_quality": op9_quality,
+    "op10_substrings": op10_substrings,
 }
