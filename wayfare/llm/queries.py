@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, mixture, pieces, quality, shards, simhash, substrings
+from wayfare.llm import chat, imatch, mixture, pieces, quality, shards, simhash, substrings
 from wayfare.sources.tables import read_table
 
 SHARDS = 40
@@ -72,6 +72,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return imatch.compare_with_next(documents, imatch.lexicon(documents))
+
+
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     sizes = documents.select("doc_id", "source", mixture.count_words(F.col("text")).alias("size"))
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op2_shards": op2_shards,
     "op3_chat": op3_chat,
     "op4_simhash": op4_simhash,
+    "op7_imatch": op7_imatch,
     "op8_mixture": op8_mixture,
     "op9_quality": op9_quality,
     "op10_substrings": op10_substrings,
