@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, imatch, mixture, pieces, quality, shards, simhash, substrings
+from wayfare.llm import chat, imatch, mixture, pieces, pii, quality, shards, simhash, substrings
 from wayfare.sources.tables import read_table
 
 SHARDS = 40
 SEED = 20
+#: a secret in production, where it comes from the settings of the job
+PII_KEY = "surrogates"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +74,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(documents, PII_KEY, count_col="n_replaced")
+
+
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return imatch.compare_with_next(documents, imatch.lexicon(documents))
@@ -98,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op2_shards": op2_shards,
     "op3_chat": op3_chat,
     "op4_simhash": op4_simhash,
+    "op5_pii": op5_pii,
     "op7_imatch": op7_imatch,
     "op8_mixture": op8_mixture,
     "op9_quality": op9_quality,
