@@ -8,12 +8,13 @@ How many buckets there are changes the work of a task but no result.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.session import ensure_checkpoint_dir
+from wayfare.session import ensure_checkpoint_dir, new_folder
 
 #: buckets of a group for each shuffle partition
 BUCKETS_PER_PARTITION = 16
@@ -25,6 +26,26 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Stored:
+    """Rows written as a table in the shared folder; ``rows`` reads them, ``drop`` deletes them.
+
+    Columns of numbers take a fraction of the room they have in a checkpoint. After the writing, the shuffle files of
+    the steps before are of no more use; they go when the driver collects its garbage, so it is asked to.
+    """
+
+    def __init__(self, df: DataFrame, purpose: str):
+        self._spark = df.sparkSession
+        self._path = new_folder(self._spark, purpose)
+        df.write.parquet(self._path)
+        self.rows = self._spark.read.schema(df.schema).parquet(self._path)
+        gc.collect()
+        self._spark.sparkContext._jvm.System.gc()
+
+    def drop(self) -> None:
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._path)
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def seeded_fraction(seed: int, *values: Column) -> Column:
     """A fraction that looks random but is fixed by the seed and the values; nulls count as empty."""
     text = F.concat_ws(":", F.lit(str(seed)), *(F.coalesce(v.cast("string"), F.lit("")) for v in values))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.fmindex import FMIndex
-from wayfare.llm.running import kept
+from wayfare.llm.running import Stored
 from wayfare.llm.words import WordCodes, mixed, window_codes
 
 WINDOW = 35
@@ -66,7 +66,7 @@ def segments(codes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np
 
 def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), text.cast("binary").alias("text"))
+    return df.select(F.col(id_col).alias("id"), F.hash(text).alias("mark"), text.cast("binary").alias("text"))
 
 
 def _occurrences(keyed: DataFrame, window: int) -> DataFrame:
@@ -91,7 +91,7 @@ def _occurrences(keyed: DataFrame, window: int) -> DataFrame:
             )
 
     kind = keyed.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, mark long, anchor long, content long, first int, windows int"
+    schema = f"id {kind}, mark int, anchor long, content long, first int, windows int"
     return keyed.select("id", "mark", "text").mapInArrow(cut, schema)
 
 
@@ -133,7 +133,7 @@ def _moved(keyed: DataFrame, wanted: DataFrame, window: int, shards: int) -> Dat
 
     kind = keyed.schema["id"].dataType.simpleString()
     return texts.mapInArrow(
-        cut, f"id {kind}, mark long, shard long, whole long, first int, n long, words binary"
+        cut, f"id {kind}, mark int, shard long, whole long, first int, n long, words binary"
     )
 
 
@@ -169,7 +169,7 @@ def _searched(moved: DataFrame, window: int) -> DataFrame:
 
     kind = moved.schema["id"].dataType.simpleString()
     segments_ = moved.filter("shard is not null")
-    return segments_.groupBy("shard").applyInArrow(search, f"id {kind}, mark long, from int, to int")
+    return segments_.groupBy("shard").applyInArrow(search, f"id {kind}, mark int, from int, to int")
 
 
 def repeated_passages(
@@ -182,30 +182,39 @@ def repeated_passages(
 ) -> DataFrame:
     """(id, mark, from, to): word intervals [from, to) covered by repeated windows; they may overlap.
 
-    ``mark`` is the XXH64 of the text, which tells rows of one id apart.
+    ``mark`` is a hash of the text, which tells rows of one id apart.
     """
     keyed = _keyed(df, id_col, text_col)
-    occurrences = kept(_occurrences(keyed, window))
-    sizes = (
-        occurrences.groupBy("anchor", "content")
-        .agg(F.count("*").alias("n"), F.min(F.struct("id", "mark", "first", "windows")).alias("one"))
+    every = Stored(_occurrences(keyed, window), "segments")
+    again = every.rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    occurrences = Stored(every.rows.join(again, "anchor", "left_semi"), "segments")
+    every.drop()
+
+    contents = occurrences.rows.groupBy("anchor", "content").agg(
+        F.count("*").alias("n"), F.min(F.struct("id", "mark", "first", "windows")).alias("one")
     )
-    sizes = kept(sizes.join(sizes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("all")).filter("all > 1"), "anchor"))
-    wanted = sizes.filter("kinds > 1").select(
-        "anchor", "n", (F.col("kinds") > hot_segments).alias("hot"), "one.*"
+    sizes = Stored(contents, "segments")
+    kinds = sizes.rows.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    wanted = Stored(
+        sizes.rows.join(kinds, "anchor").select("anchor", "n", (F.col("kinds") > hot_segments).alias("hot"), "one.*"),
+        "segments",
     )
-    words = wanted.filter("not hot").agg(F.sum(F.col("windows") + window - 1)).first()[0] or 0
+    words = wanted.rows.filter("not hot").agg(F.sum(F.col("windows") + window - 1)).first()[0] or 0
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = max(4 * partitions, -(-words // shard_words))
-    moved = kept(_moved(keyed, wanted, window, shards))
+    moved = Stored(_moved(keyed, wanted.rows, window, shards), "segments")
+    wanted.drop()
 
     last = F.col("first") + F.col("windows") + window - 1
-    often = sizes.filter("n > 1").select("anchor", "content")
-    copies = occurrences.join(often, ["anchor", "content"]).select("id", "mark", F.col("first").alias("from"), last.alias("to"))
-    single = moved.filter("whole is not null").select("id", "mark", "whole", "first", "n")
+    often = sizes.rows.filter("n > 1").select("anchor", "content")
+    copies = occurrences.rows.join(often, ["anchor", "content"]).select("id", "mark", F.col("first").alias("from"), last.alias("to"))
+    single = moved.rows.filter("whole is not null").select("id", "mark", "whole", "first", "n")
     twice = single.groupBy("whole").agg(F.sum("n").alias("all")).filter("all > 1").select("whole")
     singles = single.join(twice, "whole").select("id", "mark", F.col("first").alias("from"), (F.col("first") + window).alias("to"))
-    return _searched(moved, window).unionByName(copies).unionByName(singles.withColumn("to", F.col("to").cast("int")))
+    found = Stored(_searched(moved.rows, window).unionByName(copies).unionByName(singles), "passages")
+    for table in (occurrences, sizes, moved):
+        table.drop()
+    return found.rows
 
 
 def without_repeats(
