@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfare.llm.packing import packed, unpacker
 from wayfare.llm.words import WordCodes, mixed
 
 #: buckets of the document frequencies; the lexicon is a bit for each
@@ -130,7 +131,7 @@ def fingerprint_udf(lexicon: Lexicon):
 
 
 def in_chains(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(chain, guest, place, mark, id, text), dealt and sorted so that a row's successor by id is the next row.
+    """(chain, guest, place, mark, id, packed text), dealt and sorted so that a row's successor by id is the next row.
 
     Ids are cut into chains at approximate quantiles, so the chains have about equal numbers of rows. The last row of a
     chain is followed by a guest: a copy of the first row of the next chain, or of the first of all after the last. How
@@ -142,7 +143,7 @@ def in_chains(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         place.alias("place"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("mark"),
         F.col(id_col).alias("id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        packed(F.coalesce(F.col(text_col), F.lit(""))).alias("text"),
     )
     chains = 4 * partitions
     shares = F.lit([i / chains for i in range(1, chains)])
@@ -201,7 +202,7 @@ def compare_with_next(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", t
     """For each row its fingerprint, that of the text edited with the next row's, and both likenesses."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = Fingerprinter(lexicon)
+        make, unpack = Fingerprinter(lexicon), unpacker()
         last = None
         for batch in batches:
             ids, rows = [], []
@@ -209,7 +210,8 @@ def compare_with_next(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", t
             for chain, guest, key, text in zip(*columns):
                 if guest and (last is None or last[0] != chain or last[1]):
                     continue  # one guest closes a chain
-                own = make(text.encode())
+                data = unpack(text)
+                text, own = data.decode(), make(data)
                 if last is not None and last[0] == chain:
                     changed = edited(last[3], text)
                     new = make(changed.encode())
