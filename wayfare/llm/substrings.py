@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.fmindex import FMIndex
+from wayfare.llm.packing import packed, unpacker
 from wayfare.llm.running import Stored
 from wayfare.llm.words import WordCodes, mixed, window_codes
 
@@ -99,14 +100,14 @@ def _moved(keyed: DataFrame, wanted: DataFrame, window: int, shards: int) -> Dat
     """The words of the wanted segments (``shard`` set), or of hot anchors the codes of their windows (``whole`` set)."""
     lists = wanted.groupBy("id", "mark").agg(F.collect_list(F.struct("anchor", "first", "windows", "n", "hot")).alias("runs"))
     same = keyed["id"].eqNullSafe(lists["id"]) & (keyed["mark"] == lists["mark"])
-    texts = keyed.join(lists, same).select(keyed["id"], keyed["mark"], "text", "runs")
+    texts = keyed.withColumn("text", packed(F.col("text"))).join(lists, same).select(keyed["id"], keyed["mark"], "text", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes()
+        codes, unpack = WordCodes(), unpacker()
         for batch in batches:
             rows: list[tuple] = []
             for at, (text, runs) in enumerate(zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist())):
-                words = codes.of(text.split())
+                words = codes.of(unpack(text).split())
                 whole = None
                 for run in runs:
                     first, count = run["first"], run["windows"]
@@ -237,14 +238,15 @@ def _cleaned(df, id_col, text_col, window, column, make, kind, settings) -> Data
     found = repeated_passages(df, id_col, text_col, window, **settings)
     lists = found.groupBy("id", "mark").agg(F.collect_set(F.struct("from", "to")).alias("runs"))
     same = keyed["id"].eqNullSafe(lists["id"]) & (keyed["mark"] == lists["mark"])
-    joined = keyed.join(lists, same, "left").select(keyed["id"], "text", "runs")
+    joined = keyed.withColumn("text", packed(F.col("text"))).join(lists, same, "left").select(keyed["id"], "text", "runs")
     name = column.split()[0]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = unpacker()
         for batch in batches:
             rows = []
             for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
-                words = text.split()
+                words = unpack(text).split()
                 if runs:
                     step = np.zeros(len(words) + 1, np.int64)
                     np.add.at(step, [run["from"] for run in runs], 1)
