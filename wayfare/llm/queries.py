@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, imatch, mixture, pieces, pii, quality, shards, simhash, substrings
+from wayfare.llm import chat, imatch, mixture, pages, pieces, pii, quality, shards, simhash, substrings
 from wayfare.sources.tables import read_table
 
 SHARDS = 40
@@ -79,6 +79,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(documents, PII_KEY, count_col="n_replaced")
 
 
+def op6_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extracted(read_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return imatch.compare_with_next(documents, imatch.lexicon(documents))
@@ -106,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op3_chat": op3_chat,
     "op4_simhash": op4_simhash,
     "op5_pii": op5_pii,
+    "op6_pages": op6_pages,
     "op7_imatch": op7_imatch,
     "op8_mixture": op8_mixture,
     "op9_quality": op9_quality,
