@@ -1,0 +1,132 @@
+"""Every stage of the pipeline against a plain version of its own, on its own input."""
+
+import collections
+import hashlib
+import os
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+
+import corpus_pipeline
+from test_simhash import brute_components, brute_fingerprint
+from wayfare.llm import oracles, quality, queries
+from wayfare.llm.words import WordCodes
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
+
+
+@pytest.fixture(scope="module")
+def steps(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("stages"))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumnRenamed("lang", "lang")
+    odd = spark.createDataFrame(
+        [(10**6, None, "en", None, None), (10**6 + 1, "", "en", "src0", 0), (None, "word " * 60, "en", None, None)], docs.schema
+    )
+    docs = docs.union(odd).union(docs.limit(5)).repartition(3)
+    docs.write.parquet(f"{folder}/0")
+    tables = [spark.read.parquet(f"{folder}/0")]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES, 1):
+        stage(spark, tables[-1], FOLDER).write.parquet(f"{folder}/{k}")
+        tables.append(spark.read.parquet(f"{folder}/{k}"))
+    assert all(table.columns == tables[0].columns for table in tables[:-1])
+    return [table.collect() for table in tables], folder
+
+
+def bag(rows, *names):
+    return collections.Counter(tuple(row[n] for n in names) for row in rows)
+
+
+def test_quality(spark, steps):
+    before, after = steps[0][:2]
+    frame = spark.createDataFrame(before, "doc_id long, text string, lang string, source string, n_chars long")
+    model = quality.fit(frame, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    codes, want = WordCodes(), []
+    for row in before:
+        text = (row["text"] or "").encode()
+        words = text.split()
+        windows = collections.Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+        again = {k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(i, i + 3)}
+        grams = [int.from_bytes(text[i : i + 4], "little") * 2654435761 % (1 << 32) >> 16 for i in range(len(text) - 3)]
+        score = np.mean(model.ratio[grams]) if grams else 0
+        lines = [line for line in text.split(b"\n") if line.split()]
+        counts = quality.base_counts(text, codes)
+        symbols = sum(c in "#*$%&|<>" for c in (row["text"] or ""))
+        characters = sum(len(w.decode()) for w in words)
+        assert counts == (len(words), characters, symbols, len(lines) - len(set(lines)), len(again))
+        if len(words) >= 50 and 100 * len(again) <= 50 * len(words) and score >= model.threshold:
+            want.append(row)
+    assert bag(after, "doc_id", "text") == bag(want, "doc_id", "text")
+    assert 0 < len(after) < len(before)
+
+
+def test_near_duplicates(steps):
+    before, after = steps[0][1:3]
+    last = 10**9
+    coded = [(row["doc_id"] if row["doc_id"] is not None else last, brute_fingerprint(row["text"])) for row in before]
+    assert sorted(r["doc_id"] if r["doc_id"] is not None else last for r in after) == sorted(set(brute_components(coded)))
+    assert len(after) < len(before)
+
+
+def test_private(steps):
+    before, after = steps[0][2:4]
+    texts = {row["doc_id"]: row["text"] for row in before}
+    assert bag(before, "doc_id", "lang", "source") == bag(after, "doc_id", "lang", "source")
+    changed = 0
+    for row in after:
+        old = texts[row["doc_id"]]
+        assert row["n_chars"] == len(row["text"])
+        if row["text"] != old:
+            changed += 1
+            # only tokens with personal data or a secret changed
+            pairs = [(a, b) for a, b in zip(old.split(), row["text"].split()) if a != b]
+            assert pairs and all(any(c.isdigit() or c == "@" for c in a) for a, _ in pairs)
+    assert 0 < changed < len(after) / 2
+
+
+def test_mixture(steps):
+    before, after = steps[0][3:5]
+    texts = {row["doc_id"]: row["text"] for row in before}
+    count = lambda text: len(text.encode().split())
+    total = sum(count(t) for t in texts.values())
+    assert abs(sum(count(row["text"]) for row in after) - 1.5 * total) < 0.02 * total
+    taken = collections.Counter()
+    for row in after:
+        taken[row["doc_id"]] += count(row["text"])
+        assert row["text"] == texts[row["doc_id"]] or " ".join(row["text"].split()) in " ".join(texts[row["doc_id"]].split())
+    assert all(n <= 2 * count(texts[key]) for key, n in taken.items())
+
+
+def test_pieces(steps):
+    before, after = steps[0][4:6]
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    want = collections.Counter()
+    for row in before:
+        ids = library.encode(row["text"])
+        want[row["doc_id"], len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids))] += 1
+    assert bag(after, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+
+
+def test_run_equals_the_stages(spark, steps):
+    got = corpus_pipeline.run(spark, FOLDER)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes"]
+    assert got.count() > 0
+
+
+def test_empty_table(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, FOLDER).count() == 0
+
+
+def test_mixing_query_equals_its_sql(spark):
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from '{FOLDER}/documents.parquet'")
+    ours = queries.QUERIES["op8_mixture"](spark, FOLDER).collect()
+    result = connection.sql(oracles.ORACLES["op8_mixture"])
+    theirs = collections.Counter(tuple(dict(zip(result.columns, r))[c] for c in ours[0].asDict()) for r in result.fetchall())
+    assert bag(ours, *ours[0].asDict()) == theirs
