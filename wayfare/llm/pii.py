@@ -16,6 +16,8 @@ repeated rows get equal texts; rows without an id are handled like others. Other
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +81,11 @@ def normal_form(kind: Column, found: Column) -> Column:
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is named; a lambda would compute it in every step."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _bytes(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
     """Pseudo-random bytes as an array of numbers, at least one for each character of the normal form."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, attempt.cast("string"), normal)
@@ -86,17 +93,19 @@ def _bytes(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
         F.sequence(F.lit(0), F.floor(F.char_length(normal) / 32).cast("int") + 1),
         lambda block: F.sha2(F.concat(block.cast("string"), F.lit("\x1f"), seed).cast("binary"), 256),
     )
-    digits = F.array_join(blocks, "")
-    return F.transform(
-        F.sequence(F.lit(0), F.char_length(normal) + 31),
-        lambda i: F.conv(F.substring(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("int"),
+    at = F.sequence(F.lit(0), F.char_length(normal) + 31)
+    return _let(
+        F.array_join(blocks, ""),
+        lambda digits: F.transform(at, lambda i: F.conv(F.substring(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("int")),
     )
 
 
 def surrogate(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
     """Surrogate of a normal form; other attempts give others."""
-    drawn = _bytes(key, kind, normal, attempt)
+    return _let(_bytes(key, kind, normal, attempt), lambda drawn: _drawn_surrogate(kind, normal, attempt, drawn))
 
+
+def _drawn_surrogate(kind: Column, normal: Column, attempt: Column, drawn: Column) -> Column:
     def same_class(c: Column, value: Column) -> Column:
         # a number in hexadecimal digits stays one
         letters = F.when(normal.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), 6).otherwise(26)
@@ -198,10 +207,13 @@ def _with_findings(df: DataFrame, text_col: str) -> DataFrame:
     gaps = F.when(F.size("_pii_found") > 0, F.split(F.col(text_col), ANY, -1))
     parsed = F.transform(
         "_pii_found",
-        lambda found, i: F.struct(
-            _gendered(kind_of(found), F.get(F.col("_pii_gaps"), i)).alias("kind"),
-            normal_form(kind_of(found), found).alias("normal"),
-            found.alias("found"),
+        lambda found, i: _let(
+            kind_of(found),
+            lambda kind: F.struct(
+                _gendered(kind, F.get(F.col("_pii_gaps"), i)).alias("kind"),
+                normal_form(kind, found).alias("normal"),
+                found.alias("found"),
+            ),
         ),
     )
     return found.withColumn("_pii_gaps", gaps).withColumn("_pii", parsed)
@@ -246,7 +258,7 @@ def pseudonymised(
 
     def replaced(m: Column) -> Column:
         attempt = F.coalesce(F.try_element_at(attempts, F.concat_ws(":", m["kind"], m["normal"])), F.lit(0))
-        return _shaped(m["kind"], m["found"], surrogate(key, m["kind"], m["normal"], attempt))
+        return _let(surrogate(key, m["kind"], m["normal"], attempt), lambda made: _shaped(m["kind"], m["found"], made))
 
     made = rows.withColumn("_pii_made", F.transform("_pii", replaced))
     # the text between the findings, each followed by its surrogate
