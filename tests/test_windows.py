@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfare.operators import windows
+from wayfare.sources import tables
 from wayfare.sources.tuples import increment_value, key_by, keyed_tuples
 from wayfare.streaming import jobs, sinks
 
@@ -106,6 +107,19 @@ def test_stream_gives_what_the_batch_gives(spark, sides, tmp_path, salts):
     assert sorted(map(tuple, result.collect())) == EXPECTED
 
 
+def test_stream_of_unordered_files_loses_nothing(spark, tmp_path):
+    events = tables.read_table(spark, "/root/testdata/sf0.001", "events")
+    events.repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    delay = tables.seconds_spanned(events, "ts")
+    streams = [tables.stream_table(spark, str(tmp_path), "events", files_per_batch=1) for _ in range(2)]
+    joined = [
+        jobs.increment_and_join(tables.left_tuples(left), tables.right_tuples(right), 6 * 3_600_000, max_delay_secs=delay)
+        for left, right in (streams, (events, events))
+    ]
+    found, want = sorted(map(tuple, jobs.run_to_files(joined[0]).collect())), sorted(map(tuple, joined[1].collect()))
+    assert found == want and len(want) > 0
+
+
 def add_file(frame, folder):
     frame.coalesce(1).write.mode("append").parquet(str(folder))
 

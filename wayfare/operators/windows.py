@@ -31,21 +31,24 @@ def with_watermark(df: DataFrame, event_time: str, max_delay_secs: float = 0) ->
     return df.withWatermark(event_time, f"{round(max_delay_secs * 1000)} milliseconds")
 
 
-def window_join(left: DataFrame, right: DataFrame, size_ms: int = 5000, salts: int = 1) -> DataFrame:
+def window_join(
+    left: DataFrame, right: DataFrame, size_ms: int = 5000, salts: int = 1, max_delay_secs: float = 0
+) -> DataFrame:
     """All pairs with ``left.tuple_id = right.value`` in the same tumbling window.
 
     Works on two batch frames or two streams; the window is part of the join key, which lets a
     stream drop its state when the window is over. In a batch, adaptive execution splits keys that
     turn out too big. A stream has no such step: ``salts`` spreads each key over that many tasks, at
-    the price of as many copies of the right side.
+    the price of as many copies of the right side. A stream loses records that come more than
+    ``max_delay_secs`` after the latest of an earlier micro-batch.
     """
-    left = with_watermark(left, "event_ts").select(
+    left = with_watermark(left, "event_ts", max_delay_secs).select(
         tumbling(F.col("event_ts"), size_ms).alias("l_window"),
         F.col("source_id").alias("l_source_id"),
         F.col("tuple_id").alias("l_tuple_id"),
         F.col("value").alias("l_value"),
     )
-    right = with_watermark(right, "event_ts").select(
+    right = with_watermark(right, "event_ts", max_delay_secs).select(
         tumbling(F.col("event_ts"), size_ms).alias("r_window"),
         F.col("source_id").alias("r_source_id"),
         F.col("tuple_id").alias("r_tuple_id"),

@@ -323,7 +323,9 @@ def window_join(spark: SparkSession, folder: str) -> DataFrame:
 def window_join_stream(spark: SparkSession, folder: str) -> DataFrame:
     left = tables.left_tuples(tables.stream_table(spark, folder, "events"))
     right = tables.right_tuples(tables.stream_table(spark, folder, "events"))
-    joined = jobs.increment_and_join(left, right, JOIN_WINDOW_MS, salts=4)
+    # files of a table are in no order of time, so any record may come after any other
+    delay = tables.seconds_spanned(_events(spark, folder), "ts")
+    joined = jobs.increment_and_join(left, right, JOIN_WINDOW_MS, salts=4, max_delay_secs=delay)
     return jobs.run_to_files(joined)
 
 

@@ -29,6 +29,13 @@ def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: i
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
+def seconds_spanned(df: DataFrame, column: str) -> int:
+    """Seconds from the earliest to the latest time, rounded up; 0 for none."""
+    ends = df.agg(F.min(column).cast("timestamp").alias("first"), F.max(column).cast("timestamp").alias("last"))
+    span = ends.select(F.unix_seconds("last") - F.unix_seconds("first") + 1).first()[0]
+    return span or 0
+
+
 def _is_folder(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     file_system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -33,10 +33,10 @@ def cars_with_event_time(cars: DataFrame, max_delay_secs: float = 30) -> DataFra
 
 
 def increment_and_join(
-    left: DataFrame, right: DataFrame, size_ms: int = 5000, salts: int = 1
+    left: DataFrame, right: DataFrame, size_ms: int = 5000, salts: int = 1, max_delay_secs: float = 0
 ) -> DataFrame:
     """Both sides get their value incremented before they are joined."""
-    return window_join(increment_value(left), increment_value(right), size_ms, salts)
+    return window_join(increment_value(left), increment_value(right), size_ms, salts, max_delay_secs)
 
 
 def ingestion_time_join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -84,8 +84,13 @@ def fan_out(
     return _trigger(writer, available_now).start()
 
 
-def print_stream(stream: DataFrame, rows: int = 20) -> DataStreamWriter:
-    return stream.writeStream.format("console").option("truncate", "false").option("numRows", rows)
+def print_record(record: Row) -> None:
+    print(*record, sep="\t")
+
+
+def print_stream(stream: DataFrame, emit: Callable[[Row], None] = print_record) -> DataStreamWriter:
+    """Print every record where it is, to the output of its executor; ``emit`` does the printing."""
+    return stream.writeStream.foreach(emit)
 
 
 def append_to_files(
