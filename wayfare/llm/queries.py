@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, imatch, mixture, pages, pieces, pii, quality, shards, simhash, substrings
+from wayfare.llm import chat, imatch, licenses, mixture, pages, pieces, pii, quality, shards, simhash, substrings
 from wayfare.sources.tables import read_table
 
 SHARDS = 40
@@ -105,6 +105,13 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scanned(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("licenses.spans", lambda s: F.concat_ws(":", s["label"], s["start"], s["stop"], s["slips"]))
+    digest = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+    return found.select("doc_id", *(f"licenses.{c}" for c in digest), F.array_join(spans, ",").alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_shards": op2_shards,
@@ -116,4 +123,5 @@ QUERIES: dict[str, Query] = {
     "op8_mixture": op8_mixture,
     "op9_quality": op9_quality,
     "op10_substrings": op10_substrings,
+    "op12_licenses": op12_licenses,
 }
