@@ -67,4 +67,46 @@ select doc_id, size, source_size, target,
 from placed p join plan on p.source is not distinct from plan.source
 """
 
-ORACLES: dict[str, str] = {"op3_chat": _OP3, "op8_mixture": _OP8}
+_LETTERS = "(select unnest(['A', 'B', 'C', 'D', 'E']))"
+
+_OP13 = rf"""
+with texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+    coalesce(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), []) as words
+  from documents
+), failed as (
+  select doc_id, part, len(words) < 200 as A, 100 * len(list_distinct(words)) < 50 * len(words) as B,
+    100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) as C,
+    regexp_matches(t, '[#$%&*|]') as D, coalesce(doc_id > min(doc_id) over (partition by t), false) as E
+  from texts
+), known as (
+  select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id
+), counts as (
+  select part, [A, B, C, D, E] as fails, coalesce(good, false) as good, coalesce(toxic, false) as toxic, count(*) as n
+  from failed left join known using (doc_id) group by all
+), orders as (
+  select a || b || c || d || e as filter_order
+  from {_LETTERS} p(a), {_LETTERS} q(b), {_LETTERS} r(c), {_LETTERS} s(d), {_LETTERS} t(e)
+  where len(list_distinct([a, b, c, d, e])) = 5
+), steps as (
+  select filter_order, step::integer as step, strpos('ABCDE', filter_order[step]) as place,
+    list_transform(range(1, step), lambda i: strpos('ABCDE', filter_order[i])) as before
+  from orders, range(1, 6) x(step)
+), judged as (
+  select *, fails[place] as bad, len(list_filter(before, lambda i: fails[i])) > 0 as gone,
+    len(list_filter(fails, lambda f: f)) = 1 as alone
+  from counts, steps
+), sums as (
+  select part, filter_order, step, place,
+    coalesce(sum(n) filter (where not bad and not gone), 0)::bigint as kept,
+    coalesce(sum(n) filter (where bad and not gone), 0)::bigint as removed,
+    coalesce(sum(n) filter (where bad and gone), 0)::bigint as redundant,
+    coalesce(sum(n) filter (where bad and alone), 0)::bigint as unique_fails,
+    coalesce(sum(n) filter (where bad and not gone and good), 0)::bigint as good_lost,
+    coalesce(sum(n) filter (where bad and not gone and toxic), 0)::bigint as toxic_lost
+  from judged group by all
+)
+select * exclude (place), sum(removed) over (partition by part, place)::bigint as shapley from sums
+"""
+
+ORACLES: dict[str, str] = {"op3_chat": _OP3, "op8_mixture": _OP8, "op13_audit": _OP13}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import chat, imatch, licenses, mixture, pages, pieces, pii, quality, shards, simhash, substrings
+from wayfare.llm import audit, chat, imatch, licenses, mixture, pages, pieces, pii, quality, shards, simhash, substrings
 from wayfare.sources.tables import read_table
 
 SHARDS = 40
@@ -112,6 +112,10 @@ def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"licenses.{c}" for c in digest), F.array_join(spans, ",").alias("spans"))
 
 
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_shards": op2_shards,
@@ -124,4 +128,5 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_substrings": op10_substrings,
     "op12_licenses": op12_licenses,
+    "op13_audit": op13_audit,
 }
