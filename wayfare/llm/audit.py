@@ -3,7 +3,8 @@
 A filter is a failure condition over the text. Those that look at one text are bits of a projection. The filter of exact
 copies looks at the table: a row fails it if an equal text has a smaller id, whether or not that text is removed. It is
 an existential self-join: a left-semi join on a hash of the text, the text itself and the smaller id. Its other side is
-combined to one row, the smallest id, for each text, so a group of copies meets one partner however large it is. Texts
+combined to one row, the smallest id, for each text that occurs again, so a group of copies meets one partner however
+large it is. Texts
 that hold over ``1 / HOT_SHARES`` of all rows are dealt over salts; there are fewer than ``HOT_SHARES`` of them, which
 bounds the table of salts that is broadcast.
 
@@ -76,7 +77,7 @@ def copies(texts: DataFrame) -> DataFrame:
         return df.join(F.broadcast(hot), df["key"] == F.col("hot_key"), "left")
 
     rows = with_salts(named).withColumn("salt", F.floor(F.rand(0) * salts).cast("int"))
-    first = named.groupBy("key", "text").agg(F.min("doc_id").alias("first"))
+    first = named.groupBy("key", "text").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     firsts = with_salts(first).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     same = [rows[c] == firsts[c] for c in ("key", "salt", "text")]
     return rows.join(firsts, [*same, firsts["first"] < rows["doc_id"]], "left_semi").select(*_ROW)
