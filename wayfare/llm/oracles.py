@@ -67,6 +67,28 @@ select doc_id, size, source_size, target,
 from placed p join plan on p.source is not distinct from plan.source
 """
 
+_OP11 = """
+with vectors as (
+  select distinct vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as vector
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.id as anchor_id, a.label = b.label as same, b.id, list_inner_product(a.vector, b.vector)::bigint as score
+  from vectors a, vectors b where a.id % 100 = 0
+), positives as (
+  select anchor_id, id as positive_id, score as positive_score from scored where same and id is distinct from anchor_id
+  qualify row_number() over (partition by anchor_id order by score desc, id nulls last) <= 5
+)
+select anchor_id, positive_id, row_number() over (
+    partition by anchor_id, positive_id order by score desc, id nulls last)::integer as rank,
+  id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 100 * score between 30 * positive_score and 90 * positive_score
+qualify rank <= 10
+"""
+
 _LETTERS = "(select unnest(['A', 'B', 'C', 'D', 'E']))"
 
 _OP13 = rf"""
@@ -109,4 +131,4 @@ with texts as (
 select * exclude (place), sum(removed) over (partition by part, place)::bigint as shapley from sums
 """
 
-ORACLES: dict[str, str] = {"op3_chat": _OP3, "op8_mixture": _OP8, "op13_audit": _OP13}
+ORACLES: dict[str, str] = {"op3_chat": _OP3, "op8_mixture": _OP8, "op11_negatives": _OP11, "op13_audit": _OP13}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import audit, chat, imatch, licenses, mixture, pages, pieces, pii, quality, shards, simhash, substrings
+from wayfare.llm import audit, chat, imatch, licenses, mixture, negatives, pages, pieces, pii, quality, shards, simhash, substrings
 from wayfare.sources.tables import read_table
 
 SHARDS = 40
@@ -105,6 +105,15 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"),
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        negatives.quantised(F.col("embedding")).alias("vector"),
+    )
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scanned(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.transform("licenses.spans", lambda s: F.concat_ws(":", s["label"], s["start"], s["stop"], s["slips"]))
@@ -127,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixture": op8_mixture,
     "op9_quality": op9_quality,
     "op10_substrings": op10_substrings,
+    "op11_negatives": op11_negatives,
     "op12_licenses": op12_licenses,
     "op13_audit": op13_audit,
 }
