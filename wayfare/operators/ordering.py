@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.codecs import fare_event_time, ride_event_time
-from wayfare.operators.prefix import ROWS_PER_TASK, position_in_group
+from wayfare.operators.prefix import position_in_group
 
 
 def ride_order() -> list[Column]:
@@ -26,14 +26,12 @@ def order_cars(cars: DataFrame) -> DataFrame:
     return cars.orderBy(*car_order())
 
 
-def rank_rides(
-    rides: DataFrame, per: str = "taxi_id", rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    return position_in_group(rides, [per], ride_order(), rows_per_task=rows_per_task)
+def rank_rides(rides: DataFrame, per: str = "taxi_id", ranges: int | None = None) -> DataFrame:
+    return position_in_group(rides, [per], ride_order(), ranges=ranges)
 
 
-def rank_cars(cars: DataFrame, per: str = "car_id", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    return position_in_group(cars, [per], car_order(), rows_per_task=rows_per_task)
+def rank_cars(cars: DataFrame, per: str = "car_id", ranges: int | None = None) -> DataFrame:
+    return position_in_group(cars, [per], car_order(), ranges=ranges)
 
 
 def _first_by(df: DataFrame, key: str, order: list[tuple[str, Column]]) -> DataFrame:

@@ -1,7 +1,9 @@
 """Travel time by direction: one regression through the origin per 45 degree bucket.
 
 A model is a table of sums per bucket, ``(*keys, bucket, n, sum_xx, sum_xy)``, which any number of
-partitions or micro-batches can add to.
+partitions or micro-batches can add to. The sums are decimals: each product is rounded once, by itself, and
+then added without rounding, so neither the order of rows nor how they are cut can change a fit or a prediction.
+A product beyond LARGEST_TERM counts as that, and one that is not a number counts as nothing.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from wayfare.functions.codecs import ride_event_time
 from wayfare.functions.geo import direction_angle, euclidean_distance
 from wayfare.functions.numeric import to_int_saturating, wrap_byte
-from wayfare.operators.prefix import ROWS_PER_TASK, running_before
+from wayfare.operators.prefix import running_before
 
 # Buckets per full turn, result without a model, smallest usable sum of squares.
 BUCKETS = 8
@@ -22,6 +24,12 @@ BUCKET_DEGREES = 45
 NO_PREDICTION = -1
 SMALLEST_SUM_XX = 4.9e-323
 
+#: Products of distances (km) and times (s) in a sum: 1e-17 is far below what floats of coordinates can tell apart, and a
+#: billion products at the bound still fit the 38 digits of a sum.
+TERM = "decimal(37,17)"
+SUM = "decimal(38,17)"
+LARGEST_TERM = 1e12
+
 
 def direction_bucket(direction: Column, mode: str = "failfast") -> Column:
     """Bucket 0 to 7 of an angle; anything else is an error, or null in quarantine mode."""
@@ -52,6 +60,12 @@ def ride_features(rides: DataFrame) -> DataFrame:
     )
 
 
+def exact_term(product: Column) -> Column:
+    """A product as a decimal of fixed scale."""
+    bounded = F.greatest(F.least(product, F.lit(LARGEST_TERM)), F.lit(-LARGEST_TERM))
+    return F.when(product.isNotNull() & ~F.isnan(product), bounded).cast(TERM)
+
+
 def fit(features: DataFrame, keys: Sequence[str] = (), mode: str = "failfast") -> DataFrame:
     """Sums per key and bucket; a partial aggregate runs before the shuffle."""
     bucketed = features.withColumn("bucket", direction_bucket(F.col("direction"), mode))
@@ -59,8 +73,8 @@ def fit(features: DataFrame, keys: Sequence[str] = (), mode: str = "failfast") -
         bucketed = bucketed.filter(F.col("bucket").isNotNull())
     return bucketed.groupBy(*keys, "bucket").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("distance") * F.col("distance")).alias("sum_xx"),
-        F.sum(F.col("distance") * F.col("travel_time")).alias("sum_xy"),
+        F.sum(exact_term(F.col("distance") * F.col("distance"))).alias("sum_xx"),
+        F.sum(exact_term(F.col("distance") * F.col("travel_time"))).alias("sum_xy"),
     )
 
 
@@ -68,12 +82,13 @@ def merge_models(one: DataFrame, other: DataFrame, keys: Sequence[str] = ()) ->
     return (
         one.unionByName(other)
         .groupBy(*keys, "bucket")
-        .agg(*(F.sum(name).alias(name) for name in ("n", "sum_xx", "sum_xy")))
+        .agg(F.sum("n").alias("n"), *(F.sum(name).cast(SUM).alias(name) for name in ("sum_xx", "sum_xy")))
     )
 
 
 def predicted_time(n: Column, sum_xx: Column, sum_xy: Column, distance: Column) -> Column:
     """Slope times distance, cut to a whole number; -1 while there is no slope."""
+    sum_xx, sum_xy = sum_xx.cast("double"), sum_xy.cast("double")
     prediction = F.try_divide(sum_xy, sum_xx) * distance
     no_slope = n.isNull() | (n < 2) | (F.abs(sum_xx) < F.lit(SMALLEST_SUM_XX))
     return F.when(no_slope | F.isnan(prediction), NO_PREDICTION).otherwise(
@@ -102,7 +117,7 @@ def prequential(
     features: DataFrame,
     keys: Sequence[str] = (),
     mode: str = "failfast",
-    rows_per_task: int = ROWS_PER_TASK,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Predict every point from the points before it, by event time and then ride id."""
     distance, travel_time = F.col("distance"), F.col("travel_time")
@@ -113,10 +128,10 @@ def prequential(
         [F.col("event_time").asc(), F.col("ride_id").asc()],
         {
             "n": ("sum", F.lit(1).cast("bigint")),
-            "sum_xx": ("sum", distance * distance),
-            "sum_xy": ("sum", distance * travel_time),
+            "sum_xx": ("sum", exact_term(distance * distance)),
+            "sum_xy": ("sum", exact_term(distance * travel_time)),
         },
-        rows_per_task,
+        ranges,
     )
     prediction = predicted_time(*(F.col(c) for c in ("n", "sum_xx", "sum_xy", "distance")))
     return seen.withColumn("predicted_time", prediction).drop("n", "sum_xx", "sum_xy")

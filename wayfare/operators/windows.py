@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators.prefix import ROWS_PER_TASK, running_before
+from wayfare.operators.prefix import running_before
 from wayfare.schemas import JOINED_TUPLE
 
 #: a group without a stop gets the largest bigint
@@ -86,16 +86,14 @@ def lateness_audit(
     ts_ms: str,
     arrival_order: Sequence[Column],
     delay_ms: int = 30_000,
-    rows_per_task: int = ROWS_PER_TASK,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Watermark each event meets on arrival, and whether it is late.
 
     After every event the watermark of its source is the largest time seen less the delay; an event
     is late if its time is not above the watermark it meets.
     """
-    seen = running_before(
-        events, [source], arrival_order, {"watermark_ms": ("max", F.col(ts_ms))}, rows_per_task
-    )
+    seen = running_before(events, [source], arrival_order, {"watermark_ms": ("max", F.col(ts_ms))}, ranges)
     watermark = F.col("watermark_ms") - F.lit(delay_ms).cast("bigint")
     late = F.coalesce(F.col(ts_ms) <= F.col("watermark_ms"), F.lit(False))
     return seen.withColumn("watermark_ms", watermark).withColumn("is_late", late)

@@ -254,8 +254,8 @@ def _model_rows(model: DataFrame) -> DataFrame:
     return model.select(
         "bucket",
         "n",
-        F.round("sum_xx", 2).alias("sum_xx"),
-        F.round("sum_xy", 2).alias("sum_xy"),
+        F.round(F.col("sum_xx").cast("double"), 2).alias("sum_xx"),
+        F.round(F.col("sum_xy").cast("double"), 2).alias("sum_xy"),
     )
 
 
