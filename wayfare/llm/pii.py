@@ -38,8 +38,13 @@ PATTERNS = {
     "social": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "name": rf"(?=\p{{Lu}})(?<=[ .])(?<=\b(?:{MALE}|{FEMALE})\.? )\p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
 }
-#: a text without a digit or an at sign, and without any of these, has no findings
-HINTS = ("Mr", "Ms", "Miss", "Herr", "Frau", "Señor", "Monsieur", "Madame", "Mademoiselle", "госпо", "Госпо", "assw", "PASSW", "pwd", "oken", "TOKEN", "ecret", "api")
+#: Every pattern needs a digit, an at sign, one of these as they are, or one of the others in any case: a text without
+#: any has no findings, and is not searched.
+HINTS = ("Mr", "Ms", "Miss", "Herr", "Frau", "Señor", "Monsieur", "Madame", "Mademoiselle", "госпо", "Госпо", "AKIA", "ASIA")
+HINTS_IN_ANY_CASE = ("passw", "pwd", "token", "secret", "api")
+
+#: surrogates are made anew at most so often; spaces grow with the attempts, so only a defect could need more
+MOST_ATTEMPTS = 64
 
 _LATIN = "ba be bi bo da de di do fa fe ga go ka ke ki la le li lo ma me mi mo na ne ni no ra re ri ro sa se ta te ti to va ve vi".split()
 _CYRILLIC = "ба бе би бо да де ди до ва ве га го ка ке ки ла ле ли ло ма ме ми мо на не ни но ра ре ри ро са се та те ти то за зо".split()
@@ -53,6 +58,8 @@ def findings(text: Column) -> Column:
     hint = text.rlike("[0-9@]")
     for word in HINTS:
         hint = hint | text.contains(word)
+    for word in HINTS_IN_ANY_CASE:
+        hint = hint | F.lower(text).contains(word)
     return F.when(hint, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
 
 
@@ -106,6 +113,8 @@ def surrogate(key: str, kind: Column, normal: Column, attempt: Column) -> Column
 
 
 def _drawn_surrogate(kind: Column, normal: Column, attempt: Column, drawn: Column) -> Column:
+    no_letters = ~normal.rlike(r"[\p{L}\p{N}]")  # a secret of marks gets letters, else it would be its own surrogate
+
     def same_class(c: Column, value: Column) -> Column:
         # a number in hexadecimal digits stays one
         letters = F.when(normal.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), 6).otherwise(26)
@@ -114,7 +123,8 @@ def _drawn_surrogate(kind: Column, normal: Column, attempt: Column, drawn: Colum
             F.when(c.rlike("[0-9]"), (value % 10).cast("string"))
             .when(c.rlike("[a-z]"), letter("a"))
             .when(c.rlike("[A-Z]"), letter("A"))
-            .when(c.rlike(r"\p{L}"), letter("a"))
+            .when(c.rlike(r"\p{L}") | no_letters, letter("a"))
+            .when(c.rlike(r"\p{N}"), (value % 10).cast("string"))
             .otherwise(c)
         )
 
@@ -127,6 +137,19 @@ def _drawn_surrogate(kind: Column, normal: Column, attempt: Column, drawn: Colum
             "",
         )
 
+    # few surrogates are as short as some secrets and mail names: attempts from the third on add a character each
+    more = F.array_join(
+        F.transform(
+            F.sequence(F.lit(1), F.greatest(attempt - 2, F.lit(1))),
+            lambda k: _let(
+                F.get(drawn, (F.char_length(normal) + 1 + k) % F.size(drawn)),
+                lambda value: F.when(attempt < 3, "")
+                .when(normal.rlike(r"^[^\p{L}]*\p{N}[^\p{L}]*$"), (value % 10).cast("string"))
+                .otherwise(F.char(F.lit(ord("a")) + value % 26)),
+            ),
+        ),
+        "",
+    )
     local, domain = F.substring_index(normal, "@", 1), F.substring_index(normal, "@", -1)
     reserved = F.array(*map(F.lit, ("example.com", "example.net", "example.org")))
     host = F.concat(
@@ -136,12 +159,12 @@ def _drawn_surrogate(kind: Column, normal: Column, attempt: Column, drawn: Colum
     )
     octets = F.transform(F.split(normal, r"\."), lambda _, i: (F.get(drawn, i) % 254 + 1).cast("string"))
     return (
-        F.when(kind == "mail", F.concat(swapped(local, F.lit(0)), F.lit("@"), host))
+        F.when(kind == "mail", F.concat(swapped(local, F.lit(0)), more, F.lit("@"), host))
         .when(kind == "address", F.array_join(octets, "."))
         .when(kind == "phone", swapped(normal, F.when(F.char_length(normal) > 10, 1).otherwise(0)))
         .when(kind.isin("access_key", "bank"), swapped(normal, F.when(kind == "bank", 2).otherwise(4)))
         .when(kind.startswith("name"), _name(kind, normal, drawn, attempt))
-        .otherwise(swapped(normal, F.lit(0)))
+        .otherwise(F.concat(swapped(normal, F.lit(0)), more))
     )
 
 
@@ -222,10 +245,11 @@ def _with_findings(df: DataFrame, text_col: str) -> DataFrame:
 def later_attempts(entities: DataFrame, key: str) -> DataFrame:
     """(kind, normal, attempt) of the entities whose first surrogate clashes.
 
-    ``entities`` has distinct (kind, normal). Each round checks all surrogates; clashes get rarer from round to round.
+    ``entities`` has distinct (kind, normal). Each round checks all surrogates; clashes get rarer from round to round, as
+    there are more surrogates to draw from. Only a kind whose surrogates are used up could go on, which is an error.
     """
     current = kept(entities.select("kind", "normal", F.lit(0).alias("attempt")))
-    while True:
+    for _ in range(MOST_ATTEMPTS):
         made = kept(current.withColumn("made", surrogate(key, F.col("kind"), F.col("normal"), F.col("attempt"))))
         shared = made.groupBy("made").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "kind", "normal")).alias("first"))
         shared = shared.filter("n > 1").select("made", F.struct("first.kind", "first.normal").alias("first"))
@@ -238,6 +262,8 @@ def later_attempts(entities: DataFrame, key: str) -> DataFrame:
         if judged.filter("clash").isEmpty():
             return judged.filter("attempt > 0").select("kind", "normal", "attempt")
         current = judged.select("kind", "normal", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
+    kinds = [row["kind"] for row in judged.filter("clash").select("kind").distinct().collect()]
+    raise RuntimeError(f"more values than surrogates of the kinds {', '.join(sorted(kinds))}")
 
 
 def pseudonymised(
