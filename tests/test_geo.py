@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from wayfare.functions import geo
+from wayfare.functions import grid_path as grid_path_module
 from wayfare.functions.grid_path import grid_path, way_cells
 
 
@@ -112,10 +113,15 @@ def test_distance_to_point_uses_start_or_end(spark):
 
 
 def test_random_points_are_repeatable_and_inside(spark):
-    points = spark.range(1000).select(
-        geo.random_nyc_lon(1).alias("lon"), geo.random_nyc_lat(2).alias("lat")
-    )
-    assert points.collect() == points.collect()
+    draws = (geo.random_nyc_lon(1, F.col("id")).alias("lon"), geo.random_nyc_lat(2, F.col("id")).alias("lat"))
+    points = spark.range(1000).select("id", *draws)
+    assert sorted(points.collect()) == sorted(spark.range(1000).repartition(7, "id").select("id", *draws).collect())
+    assert points.select("lon").distinct().count() > 900
+    uniform = spark.range(4000).select(geo.keyed_uniform(5, F.col("id"), F.lit(None)).alias("u"))
+    spread = uniform.agg(F.min("u"), F.avg("u"), F.max("u"), F.stddev("u")).first()
+    assert 0 <= spread[0] < 0.01 and abs(spread[1] - 0.5) < 0.02 and 0.99 < spread[2] < 1 and abs(spread[3] - 0.2887) < 0.01
+    apart = (F.lit(None), F.lit(""), F.lit("="))
+    assert len(set(spark.range(1).select(*(geo.keyed_uniform(5, key) for key in apart)).first())) == 3
     assert points.filter(geo.in_nyc(F.col("lon"), F.col("lat"))).count() >= 999
 
 
@@ -196,6 +202,57 @@ def test_path_column_over_nulls_and_long_ways(spark):
         corrupt.select(grid_path(*(F.col(c) for c in "abcd"))).collect()
 
 
+def streamed(ways):
+    found = [[] for _ in ways]
+    for way, step, cells in grid_path_module.stream_of_cells(*np.array(ways, dtype=np.int64).T):
+        assert len(cells) <= grid_path_module.CELLS_PER_BATCH
+        for number, place, cell in zip(way.tolist(), step.tolist(), cells.tolist()):
+            assert place == len(found[number])
+            found[number].append(cell)
+    return found
+
+
+@pytest.mark.parametrize("chunk,batch", [(5, 3), (7, 100), (16, 4), (1000, 11)])
+def test_ways_made_in_pieces(monkeypatch, chunk, batch):
+    monkeypatch.setattr(grid_path_module, "CELLS_PER_CHUNK", chunk)
+    monkeypatch.setattr(grid_path_module, "CELLS_PER_BATCH", batch)
+    ways = [(2, 9, 2 + w, 9 + d) for w in range(0, 41, 2) for d in range(-41, 42, 3)]
+    ways += [(0, 0, 300, -300), (0, 0, 300, 300), (0, 0, 300, -299), (0, 0, 4, 500), (0, 5, 200, 5), (7, 7, 7, -90)]
+    assert streamed(ways) == [walk(*way) for way in ways]
+
+
+@settings(max_examples=40, deadline=None)
+@given(corner, corner, st.integers(5, 60))
+def test_random_ways_in_pieces(one, other, chunk):
+    before = grid_path_module.CELLS_PER_CHUNK
+    grid_path_module.CELLS_PER_CHUNK = chunk
+    try:
+        assert streamed([(*one, *other)]) == [walk(*one, *other)]
+    finally:
+        grid_path_module.CELLS_PER_CHUNK = before
+
+
+def test_a_way_across_the_number_range_is_never_held():
+    ends = [np.array([value]) for value in (-(2**31), 2**31 - 1, 2**31 - 1, -(2**31))]
+    cells = grid_path_module.stream_of_cells(*ends)
+    sizes = [len(next(cells)[2]) for _ in range(30)]
+    assert max(sizes) == grid_path_module.CELLS_PER_BATCH
+
+
+def test_a_row_for_each_cell(spark):
+    points = spark.createDataFrame(
+        [(-74.0493, 40.9994, -74.0465, 40.9994), (None, 40.7, -73.9, 40.7), (0.0, 0.0, -73.9, 40.7)], CORNERS
+    )
+    named = points.withColumn("name", F.when(F.col("a") < 0, "short").when(F.col("a") == 0, "long").otherwise("unknown"))
+    cells = grid_path_module.path_cells(named, *(F.col(c) for c in "abcd"))
+    assert cells.columns == [*"abcd", "name", "step", "cell"]
+    rows = sorted((row["name"], row["step"], row["cell"]) for row in cells.collect())
+    assert [cell for name, _, cell in rows if name == "short"] == [0, 1, 2]
+    assert [cell for name, _, cell in rows if name == "long"] == walk(52892, 32800, 107, 239)
+    assert {name for name, *_ in rows} == {"short", "long"}
+    assert grid_path_module.path_cells(points.limit(0), *(F.col(c) for c in "abcd")).count() == 0
+
+
 def test_path_batches_are_cut_by_their_work(spark):
     points = spark.range(400, numPartitions=1).selectExpr(
         "cast(0 as float) a", "cast(0 as float) b",

@@ -98,9 +98,23 @@ def distance_to_point(lon: Column | float, lat: Column | float) -> Column:
     ).otherwise(euclidean_distance(*point, F.col("end_lon"), F.col("end_lat")))
 
 
-def random_nyc_lon(seed: int | None = None) -> Column:
-    return (F.lit(LON_EAST) - F.lit(LON_EAST - LON_WEST) * F.rand(seed)).cast("float")
+def keyed_uniform(seed: int, *key: Column) -> Column:
+    """A number in [0, 1), fixed by the seed and the key alone: 52 bits of a hash of both.
+
+    Unlike ``rand``, whose numbers follow the partitions and the rows before, it stays the same however often or wherever
+    a row is computed. Null counts as a key of its own.
+    """
+    parts = [F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit("")) for column in key]
+    text = F.concat_ws(":", F.lit(str(seed)), *parts)
+    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
+    return bits / F.lit(2.0**52)
+
+
+def random_nyc_lon(seed: int, *key: Column) -> Column:
+    """A random longitude in the box for each key."""
+    return (F.lit(LON_EAST) - F.lit(LON_EAST - LON_WEST) * keyed_uniform(seed, *key)).cast("float")
 
 
-def random_nyc_lat(seed: int | None = None) -> Column:
-    return (F.lit(LAT_SOUTH) + F.lit(LAT_NORTH - LAT_SOUTH) * F.rand(seed)).cast("float")
+def random_nyc_lat(seed: int, *key: Column) -> Column:
+    """A random latitude in the box for each key."""
+    return (F.lit(LAT_SOUTH) + F.lit(LAT_NORTH - LAT_SOUTH) * keyed_uniform(seed, *key)).cast("float")

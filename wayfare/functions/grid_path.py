@@ -1,4 +1,4 @@
-"""Cells on the straight way between two points, as one Arrow UDF.
+"""Cells on the straight way between two points.
 
 A way runs from west to east, so it can be described column by column: the way enters grid column
 ``i`` in some row and leaves it in another, and both rows follow from the height of the line in the
@@ -17,15 +17,20 @@ With ``y`` the height of the line in the middle of a column and TOLERANCE around
 
 The way ends in the row of its end point, in its last column or, after a diagonal step at the very
 end, one column beyond.
+
+A column depends on the two before it and on where the run of diagonal steps it is in began. A way of any length is
+therefore made piece by piece: a piece starts a few columns early, with that one number from the piece before.
+:func:`path_cells` gives a row per cell and holds no more than a piece; :func:`grid_path` gives an array per way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,15 +40,19 @@ from wayfare.functions.geo import GRID_COLUMNS, grid_x, grid_y
 TOLERANCE = 0.05
 EPSILON = 0.00000001
 
-#: cells computed at once; bounds the memory of a Python worker, not the length of a way
+#: columns or cells computed at once; bounds the memory of a Python worker, not the length of a way
 CELLS_PER_CHUNK = 1_000_000
+#: rows given at once
+CELLS_PER_BATCH = 100_000
+#: columns a piece starts early
+_LEAD = 4
 #: Any two points on earth are under 300,000 cells apart. Beyond this, coordinates are corrupt, and
-#: the way may not fit a worker: that is an error, as shortening it would be a wrong result.
+#: an array of the way may not fit a worker: that is an error in :func:`grid_path` only.
 LONGEST_WAY = 1_000_000
 
 
 def grid_path(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    """``array<int>`` of the cells on the way, always listed from west to east."""
+    """``array<int>`` of the cells on the way, always listed from west to east; an error beyond LONGEST_WAY."""
     return _way_cells(grid_x(lon1), grid_y(lat1), grid_x(lon2), grid_y(lat2))
 
 
@@ -61,10 +70,36 @@ def _shifted(values: np.ndarray, by: int, fill) -> np.ndarray:
     return out
 
 
-def way_cells(
-    x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """Cell ids of all ways one after another, and the number of cells of each way."""
+@dataclass(frozen=True)
+class _Stretches:
+    """What ways cover of each grid column: ``rows`` cells from ``cell`` on, ``step`` apart. Ways are numbered by ``way``."""
+
+    way: np.ndarray
+    cell: np.ndarray
+    step: np.ndarray
+    rows: np.ndarray
+    run_start: np.ndarray
+
+    def cells(self, low: int = 0, high: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The way and the id of the cells from number ``low`` up to ``high`` of all."""
+        through = np.cumsum(self.rows)
+        numbers = np.arange(low, through[-1] if high is None else min(high, through[-1]))
+        entry = np.searchsorted(through, numbers, "right")
+        place = numbers - (through[entry] - self.rows[entry])
+        return self.way[entry], (self.cell[entry] + place * self.step[entry]).astype(np.int32)
+
+    def count(self) -> int:
+        return int(self.rows.sum())
+
+
+def _stretches(
+    x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, columns: tuple[int, int] | None = None, run_start: int = 0
+) -> _Stretches:
+    """Stretches of all ways; of a single way also of some ``columns`` only.
+
+    ``run_start`` is then the column in which the run of diagonal steps began that reaches the first of the columns
+    that are computed, ``_LEAD`` before those wanted.
+    """
     swap = x1 > x2
     x_start, x_end = np.where(swap, x2, x1), np.where(swap, x1, x2)
     y_start, y_end = np.where(swap, y2, y1), np.where(swap, y1, y2)
@@ -72,7 +107,12 @@ def way_cells(
     slope = (y_end - y_start) / (width + EPSILON)
 
     # one entry per grid column a way can touch, including the one beyond its end
-    way, column = _ranges(width + 2)
+    if columns is None:
+        first, wanted, (way, column) = 0, 0, _ranges(width + 2)
+    else:
+        first, wanted = max(0, columns[0] - _LEAD), columns[0]
+        column = np.arange(first, columns[1])
+        way = np.zeros(len(column), np.int64)
     down = (slope > 0)[way]
     sign = np.where(down, 1, -1)
     from_row, to_row = y_start[way], y_end[way]
@@ -88,12 +128,11 @@ def way_cells(
     # going up: drop the columns passed over by the diagonal steps before them
     index = np.arange(len(way))
     run_goes_on = _shifted(diagonal, 1, False) & (column > 0)
-    run_start = np.maximum.accumulate(np.where(diagonal & run_goes_on, 0, index))
-    steps = (
-        diagonal
-        & ((index - run_start) % 2 == 0)
-        & ((index == run_start) | (leave != _shifted(leave, 1, 0)))
-    )
+    starts = np.where(diagonal & run_goes_on, np.iinfo(np.int64).min, index)
+    if first:
+        starts[0] = run_start - first
+    starts = np.maximum.accumulate(starts)
+    steps = diagonal & ((index - starts) % 2 == 0) & ((index == starts) | (leave != _shifted(leave, 1, 0)))
     passed_over = _shifted(steps & ~down, 1, False) & (column > 0)
 
     # row where the column is entered: what the last visited column left behind
@@ -110,12 +149,74 @@ def way_cells(
     exit_row = np.where(down, np.maximum(enter, leave), np.minimum(enter, leave))
     exit_row = np.where(last, to_row, exit_row).astype(np.int64)
 
-    rows = np.where(kept, np.abs(exit_row - enter) + 1, 0)
-    entry, place = _ranges(rows)
-    row = enter[entry] + sign[entry] * place
-    cells = (x_start[way] + column)[entry] + row * GRID_COLUMNS
-    lengths = np.add.reduceat(rows, np.cumsum(width + 2) - (width + 2))
-    return cells.astype(np.int32), lengths
+    rows = np.where(kept & (column >= wanted), np.abs(exit_row - enter) + 1, 0)
+    return _Stretches(way, x_start[way] + column + enter * GRID_COLUMNS, sign * GRID_COLUMNS, rows, starts + first)
+
+
+def way_cells(
+    x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Cell ids of all ways one after another, and the number of cells of each way."""
+    found = _stretches(x1, y1, x2, y2)
+    way, cells = found.cells()
+    return cells, np.bincount(way, minlength=len(x1))
+
+
+def stream_of_cells(
+    x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(way, step, cell) of all ways in order, a bounded number at once; steps of a way count from 0."""
+    columns = np.abs(x2 - x1) + 2
+    for ways in _chunks(columns):
+        size = int(columns[ways.start])
+        if ways.stop - ways.start > 1 or size <= CELLS_PER_CHUNK:
+            pieces = iter([_stretches(x1[ways], y1[ways], x2[ways], y2[ways])])
+        else:
+            pieces = _pieces_of_a_way(x1[ways], y1[ways], x2[ways], y2[ways], size)
+        last, steps = -1, 0
+        for piece in pieces:
+            for low in range(0, piece.count(), CELLS_PER_BATCH):
+                way, cells = piece.cells(low, low + CELLS_PER_BATCH)
+                # the first cells may go on a way, the others count from their own start
+                place = np.arange(len(way)) - np.searchsorted(way, way)
+                place[way == last] += steps
+                last, steps = int(way[-1]), int(place[-1]) + 1
+                yield way + ways.start, place, cells
+
+
+def _pieces_of_a_way(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray, size: int) -> Iterator[_Stretches]:
+    run_start = 0
+    for low in range(0, size, CELLS_PER_CHUNK):
+        high = min(size, low + CELLS_PER_CHUNK)
+        piece = _stretches(x1, y1, x2, y2, (low, high), run_start)
+        yield piece
+        run_start = int(piece.run_start[-_LEAD]) if high - low >= _LEAD else 0
+
+
+def path_cells(df: DataFrame, lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> DataFrame:
+    """A row for each cell on the way of each row, with its ``step`` (from 0, west to east) and ``cell``.
+
+    Ways of any length; rows with an unknown corner have no cells. The other columns come along in every row.
+    """
+    corners = ["_x1", "_y1", "_x2", "_y2"]
+    ends = dict(zip(corners, (grid_x(lon1), grid_y(lat1), grid_x(lon2), grid_y(lat2))))
+    schema = T.StructType([*df.schema, T.StructField("step", T.LongType()), T.StructField("cell", T.IntegerType())])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = np.logical_and.reduce([batch.column(c).is_valid().to_numpy(zero_copy_only=False) for c in corners])
+            rows = np.flatnonzero(known)
+            if not len(rows):
+                continue
+            at = [batch.column(c).take(pa.array(rows)).to_numpy().astype(np.int64) for c in corners]
+            others = batch.drop_columns(corners)
+            for way, step, cells in stream_of_cells(*at):
+                taken = others.take(pa.array(rows[way]))
+                yield pa.RecordBatch.from_arrays(
+                    [*taken.columns, pa.array(step), pa.array(cells)], [*others.schema.names, "step", "cell"]
+                )
+
+    return df.withColumns(ends).mapInArrow(walk, schema)
 
 
 def _chunks(work: np.ndarray) -> Iterator[slice]:

@@ -121,6 +121,13 @@ def arrivals(events: DataFrame) -> DataFrame:
     )
 
 
+def late_arrivals(events: DataFrame) -> DataFrame:
+    """The events with ``arrival_ms``: most within two hours, every seventh ten days later."""
+    lag = F.when(F.col("event_id") % 7 == 0, 864_000_000).otherwise(0)
+    delay = ((F.col("event_id") * 7919) % 7200) * 1000
+    return events.withColumn("arrival_ms", F.unix_millis(F.col("ts").cast("timestamp")) + delay + lag)
+
+
 def left_tuples(events: DataFrame) -> DataFrame:
     return keyed_tuples(
         events, "Source1", F.col("event_id") % 50, F.col("event_id") % 97, F.col("ts")
