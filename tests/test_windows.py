@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from wayfare.operators import windows
 from wayfare.sources import tables
 from wayfare.sources.tuples import increment_value, key_by, keyed_tuples
-from wayfare.streaming import jobs, sinks
+from wayfare.streaming import jobs, sinks, staging
 
 TUPLE = "source_id string, tuple_id bigint, value bigint, seconds double"
 OUT = ("l_source_id", "l_tuple_id", "l_value", "r_source_id", "r_tuple_id", "r_value")
@@ -35,16 +35,19 @@ EXPECTED = sorted(
 )
 
 
-@pytest.mark.parametrize("salts", [1, 4])
-def test_join_in_tumbling_windows(sides, salts):
-    joined = jobs.increment_and_join(*sides, size_ms=5000, salts=salts)
+@pytest.mark.parametrize("shares", [1, 50])
+def test_join_in_tumbling_windows(sides, shares, monkeypatch):
+    monkeypatch.setattr(windows, "HOT_SHARES", shares)
+    joined = jobs.increment_and_join(*sides, size_ms=5000)
     assert tuple(joined.columns) == OUT
     assert sorted(map(tuple, joined.collect())) == EXPECTED
 
 
-def test_many_pairs_of_one_key_are_all_kept(spark):
-    rows = [(7, 6, n / 10) for n in range(40)]
-    joined = jobs.increment_and_join(tuples(spark, "a", *rows), tuples(spark, "b", *rows), salts=3)
+@pytest.mark.parametrize("shares", [1, 3, 200])
+def test_many_pairs_of_one_key_are_all_kept_once(spark, shares, monkeypatch):
+    monkeypatch.setattr(windows, "HOT_SHARES", shares)
+    rows = [(7, 6, n / 10) for n in range(40)] + [(8, 1, 1.0), (9, 2, 2.0), (9, 2, 2.0)]
+    joined = jobs.increment_and_join(tuples(spark, "a", *rows), tuples(spark, "b", *rows))
     assert joined.count() == 1600
 
 
@@ -73,19 +76,35 @@ def small_splits(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_a_hot_key_is_split_in_a_batch(spark, small_splits):
-    ids = spark.range(0, 30_000, 1, 8)
-    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
-    left = keyed_tuples(ids, "a", hot, F.col("id"), F.timestamp_seconds(F.lit(0)))
-    right = keyed_tuples(
-        spark.range(0, 30_000, 500, 2), "b", F.col("id"), F.col("id"), F.timestamp_seconds(F.lit(1))
+def hot_sides(spark, left_hot, right_hot):
+    """A third of the rows of a side, equal to one another, in one key."""
+    key = lambda hot: F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")) if hot else F.col("id")
+    value = lambda hot: F.lit(5) if hot else F.col("id")
+    large, small = spark.range(0, 12_000, 1, 8), spark.range(0, 12_000, 500, 2)
+    left, right = large if left_hot else small, large if right_hot and not left_hot else small
+    if left_hot and right_hot:
+        right = spark.range(0, 300, 1, 2)
+    return (
+        keyed_tuples(left, "a", key(left_hot), value(left_hot), F.timestamp_seconds(F.lit(0))),
+        keyed_tuples(right, "b", value(right_hot), key(right_hot), F.timestamp_seconds(F.lit(1))),
     )
-    joined = windows.window_join(left, right)
-    pairs = joined.collect()
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    # ids that are no multiple of three meet themselves; the 10,000 others all meet id 0
-    assert len(pairs) == 10_000 + 40
-    assert "skew=true" in plan
+
+
+@pytest.mark.parametrize("left_hot,right_hot", [(True, False), (False, True), (True, True)])
+def test_a_hot_key_is_cut_on_either_side(spark, small_splits, left_hot, right_hot):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        left, right = hot_sides(spark, left_hot, right_hot)
+        hot = windows.hot_keys(left, right).collect()
+        assert [row["hot_key"] for row in hot if row["l_parts"] * row["r_parts"] > 20] == [0]
+        assert len(hot) < 2 * windows.HOT_SHARES
+        joined = windows.window_join(left, right)
+        pairs = joined.groupBy(F.spark_partition_id()).count().collect()
+        want = left.join(right, left["tuple_id"] == right["value"]).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    assert sum(row["count"] for row in pairs) == want > 4_000
+    assert len(pairs) == 16 and max(row["count"] for row in pairs) < 0.15 * want
 
 
 def stream_of(spark, folder):
@@ -94,8 +113,10 @@ def stream_of(spark, folder):
     ).option("maxFilesPerTrigger", 1).parquet(str(folder))
 
 
-@pytest.mark.parametrize("salts", [1, 2])
-def test_stream_gives_what_the_batch_gives(spark, sides, tmp_path, salts):
+@pytest.mark.parametrize("cut", [False, True])
+def test_stream_gives_what_the_batch_gives(spark, sides, tmp_path, cut, monkeypatch):
+    monkeypatch.setattr(windows, "HOT_SHARES", 50)
+    hot = jobs.hot_keys_of(*sides) if cut else None
     for name, side in zip(("left", "right"), sides):
         side.write.parquet(str(tmp_path / name))
     # all files in one trigger, so that no row is late
@@ -103,7 +124,7 @@ def test_stream_gives_what_the_batch_gives(spark, sides, tmp_path, salts):
         spark.readStream.schema(side.schema).parquet(str(tmp_path / name))
         for name, side in zip(("left", "right"), sides)
     ]
-    result = jobs.run_to_files(jobs.increment_and_join(*streams, salts=salts))
+    result = jobs.run_to_files(jobs.increment_and_join(*streams, hot=hot))
     assert sorted(map(tuple, result.collect())) == EXPECTED
 
 

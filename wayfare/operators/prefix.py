@@ -41,7 +41,7 @@ def running_before(
 ) -> DataFrame:
     """Add, for each ``name: (kind, value)``, the aggregate of the rows before this one.
 
-    ``kind`` is ``sum``, ``max`` or ``min``; values are bigints, or decimals for sums. Nulls count as nothing, and the
+    Without ``group_by`` all rows are one group. ``kind`` is ``sum``, ``max`` or ``min``; values are bigints, or decimals for sums. Nulls count as nothing, and the
     first row of a group gets null. ``order_by`` must be a total order within the group for the result to be repeatable,
     and for rows to be cut anywhere. ``ranges`` is the number of tasks, by default that of shuffles.
     """
@@ -139,7 +139,7 @@ def _pass_over_range(group_by: list[str], kinds: dict[str, str]):
             if not batch.num_rows:
                 continue
             key = [batch.column(name) for name in group_by]
-            starts = _changes(key)
+            starts = _changes(key, batch.num_rows)
             goes_on = last_key is not None and [column[0].as_py() for column in key] == last_key
             starts[0] = not goes_on
             group = np.cumsum(starts) - (not goes_on)
@@ -170,9 +170,8 @@ def _pass_over_range(group_by: list[str], kinds: dict[str, str]):
     return run
 
 
-def _changes(key: list[pa.Array]) -> np.ndarray:
+def _changes(key: list[pa.Array], rows: int) -> np.ndarray:
     """Whether a row has another key than the one before it; the first row does not count."""
-    rows = len(key[0])
     changed = np.zeros(rows, bool)
     for column in key:
         one, other = column[: rows - 1], column[1:]

@@ -118,8 +118,12 @@ def prequential(
     keys: Sequence[str] = (),
     mode: str = "failfast",
     ranges: int | None = None,
+    model: DataFrame | None = None,
 ) -> DataFrame:
-    """Predict every point from the points before it, by event time and then ride id."""
+    """Predict every point from the points before it, by event time and then ride id.
+
+    ``model`` is what was fitted to points before all of these.
+    """
     distance, travel_time = F.col("distance"), F.col("travel_time")
     bucketed = features.withColumn("bucket", direction_bucket(F.col("direction"), mode))
     seen = running_before(
@@ -133,5 +137,19 @@ def prequential(
         },
         ranges,
     )
+    if model is not None:
+        seen = _with_model(seen, model, keys)
     prediction = predicted_time(*(F.col(c) for c in ("n", "sum_xx", "sum_xy", "distance")))
     return seen.withColumn("predicted_time", prediction).drop("n", "sum_xx", "sum_xy")
+
+
+def _with_model(seen: DataFrame, model: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums over the points before, and those of a model of earlier points."""
+    names = ("n", "sum_xx", "sum_xy")
+    earlier = model.select(*keys, F.coalesce("bucket", F.lit(-1)).alias("bucket"), *(F.col(c).alias(f"_model_{c}") for c in names))
+    joined = seen.join(earlier if keys else F.broadcast(earlier), [*keys, "bucket"], "left")
+    zero = {"n": F.lit(0).cast("bigint"), "sum_xx": F.lit(0).cast(TERM), "sum_xy": F.lit(0).cast(TERM)}
+    kind = {"n": "bigint", "sum_xx": TERM, "sum_xy": TERM}  # a sum of two such is exact
+    return joined.withColumns(
+        {c: F.coalesce(F.col(c).cast(kind[c]), zero[c]) + F.coalesce(F.col(f"_model_{c}").cast(kind[c]), zero[c]) for c in names}
+    ).select(*seen.columns)

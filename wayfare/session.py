@@ -72,6 +72,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+@contextmanager
+def disk_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started in here keep their state on disk, whatever the session was built with.
+
+    A stream keeps the settings of the session it starts in; one that was started before with another store goes on
+    with the store its checkpoint names.
+    """
+    key = "spark.sql.streaming.stateStore.providerClass"
+    configured = spark.conf.get(key, None)
+    spark.conf.set(key, _DISK_STATE)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if configured is None else spark.conf.set(key, configured)
+
+
 @contextmanager
 def no_idle_partitions(spark: SparkSession) -> Iterator[None]:
     """Streams started in here get at most one shuffle partition per core of a local session.

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wayfare.functions.codecs import ride_line
 from wayfare.functions.mail import RECORD_DELIMITER, mail_line
+from wayfare.session import disk_state
 from wayfare.sources.messages import DEFAULT_BROKER, RIDES_TOPIC
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -81,7 +82,7 @@ def fan_out(
             batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write_all).option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now).start()
+    return started(stream.sparkSession, writer, available_now)
 
 
 def print_record(record: Row) -> None:
@@ -103,29 +104,73 @@ def append_to_files(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return _trigger(writer, available_now).start()
+    return started(stream.sparkSession, writer, available_now)
+
+
+class Versions:
+    """A table that is replaced as a whole, version by version, of which the last two are kept.
+
+    A version is written beside the one before and counts once it is complete. Then all before the previous one go, so
+    the folder never holds more than a few, and finding the newest means listing those. The previous one is
+    what a repeated micro-batch starts from.
+    """
+
+    KEPT = 2
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._path = spark, path
+        self._folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._system = self._folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _place(self, version: int) -> str:
+        return f"{self._path}/batch_id={version}"
+
+    def versions(self) -> list[int]:
+        """Complete versions, oldest first."""
+        if not self._system.exists(self._folder):
+            return []
+        names = [status.getPath().getName() for status in self._system.listStatus(self._folder)]
+        numbers = [int(name.partition("=")[2]) for name in names if name.startswith("batch_id=")]
+        done = self._spark._jvm.org.apache.hadoop.fs.Path
+        return sorted(n for n in numbers if self._system.exists(done(f"{self._place(n)}/_SUCCESS")))
+
+    def write(self, df: DataFrame, version: int) -> None:
+        """Write or replace a version."""
+        df.write.mode("overwrite").parquet(self._place(version))
+        for old in self.versions():
+            if old <= version - self.KEPT:
+                self._system.delete(self._spark._jvm.org.apache.hadoop.fs.Path(self._place(old)), True)
+
+    def read(self, version: int, schema: T.StructType | None = None) -> DataFrame:
+        reader = self._spark.read.schema(schema) if schema else self._spark.read
+        return reader.parquet(self._place(version))
+
+    def newest(self) -> DataFrame:
+        versions = self.versions()
+        if not versions:
+            raise FileNotFoundError(f"{self._path} holds no version")
+        return self.read(versions[-1])
 
 
 def replace_in_files(
     stream: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Keep a whole aggregate result (``complete`` mode), one version per micro-batch."""
+    """Keep a whole aggregate result (``complete`` mode), a version per micro-batch of which two stay."""
     writer = (
         stream.writeStream.outputMode("complete")
-        .foreachBatch(file_batch_writer(path))
+        .foreachBatch(lambda batch, batch_id: Versions(batch.sparkSession, path).write(batch, batch_id))
         .option("checkpointLocation", checkpoint)
     )
-    return _trigger(writer, available_now).start()
+    return started(stream.sparkSession, writer, available_now)
 
 
-def latest_version(spark, path: str) -> DataFrame:
+def latest_version(spark: SparkSession, path: str) -> DataFrame:
     """What :func:`replace_in_files` wrote last."""
-    versions = spark.read.parquet(path)
-    newest = versions.agg(F.max("batch_id").alias("batch_id"))
-    return versions.join(F.broadcast(newest), "batch_id", "left_semi").drop("batch_id")
+    return Versions(spark, path).newest()
 
 
-def _trigger(writer: DataStreamWriter, available_now: bool) -> DataStreamWriter:
-    if available_now:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=CHECKPOINT_INTERVAL)
+def started(spark: SparkSession, writer: DataStreamWriter, available_now: bool) -> StreamingQuery:
+    """Start with state on disk: once over what is there, or for good."""
+    trigger = {"availableNow": True} if available_now else {"processingTime": CHECKPOINT_INTERVAL}
+    with disk_state(spark):
+        return writer.trigger(**trigger).start()
