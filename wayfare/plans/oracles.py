@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from wayfare.plans.queries import JOIN_WINDOW_MS, POINT
+from wayfare.plans.queries import BATCHES, DAY_MS, JOIN_WINDOW_MS, POINT
+from wayfare.streaming.staging import ROWS_PER_FILE
 
 _GEO = """
   cast(-74.06e0 + (event_id*7919 % 37000)/1e5 as float) as start_lon,
@@ -124,6 +125,39 @@ firsts as (
 _MAIL_LINE = """message_id || '#|#' || time || '#|#' || sender || '#|#' || subject || '#|#'
   || body || '#|#' || reply_to"""
 
+_STEPS = f"""
+{_RIDES},
+corners as (
+  select ride_id, {_CELL_X.format(lon='start_lon')} as xa,
+    {_CELL_Y.format(lat='start_lat')} as ya, {_CELL_X.format(lon='end_lon')} as xb,
+    {_CELL_Y.format(lat='end_lat')} as yb
+  from rides where not is_start
+),
+lines as (
+  select ride_id, least(xa, xb) as x0, greatest(xa, xb) as x1,
+    case when xa <= xb then ya else yb end as y0,
+    case when xa <= xb then yb else ya end as y1
+  from corners
+),
+sloped as (select *, (y1 - y0)/((x1 - x0) + 0.00000001e0) as slope from lines),
+steps as (
+  select *, x0 as x, y0 as y, 0 as step from sloped
+  union all
+  select ride_id, x0, x1, y0, y1, slope,
+    x + case when near and slope <= 0 then 2 when near or east then 1 else 0 end,
+    y + case when near or not east then (case when slope > 0 then 1 else -1 end) else 0 end,
+    step + 1
+  from (
+    select *, height > y - 0.05e0 and height < y + 0.05e0 as near,
+      case when slope > 0 then height < y else height > y end as east
+    from (
+      select *, case when slope > 0 then (x - x0 + 0.5e0)*slope + y0 - 0.5e0
+                     else (x - x0 + 0.5e0)*slope + y0 + 0.5e0 end as height
+      from steps where x < x1 or y <> y1
+    )
+  )
+)"""
+
 _UNRELIABLE = """
 records as (
   select * exclude (value), epoch_us(date_trunc('second', ts))//1000 as start_ms,
@@ -156,6 +190,54 @@ def _point_distance(lon: str, lat: str) -> str:
     )
 
 
+def _on_time(records: str, delay_ms: int) -> str:
+    """Records of windows that are over, without those that came after their window was closed.
+
+    A micro-batch drops what belongs to windows that the watermark had passed when the one before it ran, which
+    knows the times of the batches before that.
+    """
+    return f"""
+      arriving as (
+        select *, epoch_us(ts)//1000 + (event_id*7919 % 7200)*1000
+          + case when event_id % 7 = 0 then 864000000 else 0 end as arrival_ms
+        from events
+      ),
+      sized as (
+        select count(*) as n, greatest(1, ceil(count(*) / {BATCHES * ROWS_PER_FILE}))::bigint as files from events
+      ),
+      batched as (
+        select arriving.*, (row_number() over (order by arrival_ms, event_id) - 1) * {BATCHES} * files // n // files as batch
+        from arriving, sized
+      ),
+      {records},
+      tops as (select batch, max(event_ms) as top from records group by batch),
+      marks as (
+        select batch, max(top) over (order by batch rows between unbounded preceding and 2 preceding) - {delay_ms} as mark
+        from tops
+      ),
+      on_time as (
+        select *, event_ms//{DAY_MS}*{DAY_MS} as window_start_ms from records join marks using (batch)
+        where event_ms//{DAY_MS}*{DAY_MS} + {DAY_MS} > coalesce(mark, 0)
+          and event_ms//{DAY_MS}*{DAY_MS} + {DAY_MS} <= (select max(top) - {delay_ms} from tops)
+      )"""
+
+
+_STOP_RECORDS = """records as (
+        select batch, cast(user_id as varchar) as car_id, epoch_us(ts)//1000 as event_ms,
+          event_type = 'error' or cast(value as float) = 0 as stopped
+        from batched
+      )"""
+
+_RIDE_RECORDS = """records as (
+        select batch, is_start, epoch_us(date_trunc('second', ts))//1000
+          + case when is_start then 0 else (120 + event_id*7919 % 3480)*1000 end as event_ms
+        from (select *, unnest([true, false]) as is_start from batched)
+      )"""
+
+def _uniform(seed: int) -> str:
+    return f"(('0x' || substr(md5('{seed}:=' || event_id), 1, 13))::bigint / 4503599627370496.0e0)"
+
+
 _JOIN_WINDOW_US = JOIN_WINDOW_MS * 1000
 
 _WINDOW_JOIN = f"""
@@ -170,11 +252,19 @@ _FIT = f"""
 with {_MODEL}
 select bucket, n, round(sum_xx, 2) as sum_xx, round(sum_xy, 2) as sum_xy from model"""
 
+_PREQUENTIAL = f"""
+    with {_FEATURES},
+    seen as (
+      select ride_id, bucket, distance, count(*) over earlier as n,
+        sum(distance*distance) over earlier as sum_xx,
+        sum(distance*travel_time) over earlier as sum_xy
+      from bucketed
+      window earlier as (partition by bucket order by event_ms, ride_id
+        rows between unbounded preceding and 1 preceding)
+    )
+    select ride_id, bucket, {_PREDICTED} from seen"""
+
 _LINE_REFERENCE = _RIDE_LINE.format(first="start_time", second="end_time")
-_LINE_ROUNDTRIP = _RIDE_LINE.format(
-    first="case when is_start then start_time else end_time end",
-    second="case when is_start then end_time else start_time end",
-)
 
 ORACLES: dict[str, str] = {
     "scan_rides": f"with {_RIDES} select {_RIDE_COLUMNS}, start_ms, end_ms from timed",
@@ -244,40 +334,16 @@ ORACLES: dict[str, str] = {
           cast(41.0e0 - ((cell - cell % 250)//250)*0.00125e0 - 0.000625e0 as float) as lat
         from cells""",
     "grid_path_cells": f"""
-        with recursive {_RIDES},
-        corners as (
-          select ride_id, {_CELL_X.format(lon='start_lon')} as xa,
-            {_CELL_Y.format(lat='start_lat')} as ya, {_CELL_X.format(lon='end_lon')} as xb,
-            {_CELL_Y.format(lat='end_lat')} as yb
-          from rides where not is_start
-        ),
-        lines as (
-          select ride_id, least(xa, xb) as x0, greatest(xa, xb) as x1,
-            case when xa <= xb then ya else yb end as y0,
-            case when xa <= xb then yb else ya end as y1
-          from corners
-        ),
-        sloped as (select *, (y1 - y0)/((x1 - x0) + 0.00000001e0) as slope from lines),
-        steps as (
-          select *, x0 as x, y0 as y, 0 as step from sloped
-          union all
-          select ride_id, x0, x1, y0, y1, slope,
-            x + case when near and slope <= 0 then 2 when near or east then 1 else 0 end,
-            y + case when near or not east then (case when slope > 0 then 1 else -1 end) else 0 end,
-            step + 1
-          from (
-            select *, height > y - 0.05e0 and height < y + 0.05e0 as near,
-              case when slope > 0 then height < y else height > y end as east
-            from (
-              select *, case when slope > 0 then (x - x0 + 0.5e0)*slope + y0 - 0.5e0
-                             else (x - x0 + 0.5e0)*slope + y0 + 0.5e0 end as height
-              from steps where x < x1 or y <> y1
-            )
-          )
-        )
-        select ride_id, cast(count(*) as integer) as n_cells,
-          string_agg(cast(x + 250*y as varchar), ' ' order by step) as path
-        from steps group by ride_id""",
+        with recursive {_STEPS}
+        select ride_id, is_start, count(*) as n_cells, max(step)::bigint as last_step, sum(cell)::bigint as cell_sum,
+          sum(step::bigint * cell)::bigint as ordered_sum, sum(step::bigint * step * cell)::bigint as twice_ordered_sum,
+          min(cell) as least_cell, max(cell) as largest_cell
+        from (select ride_id, unnest([true, false]) as is_start, step, (x + 250*y)::bigint as cell from steps)
+        group by ride_id, is_start""",
+    "grid_traffic": f"""
+        with recursive {_STEPS}
+        select (x + 250*y)::integer as cell, 2 * count(*) as n_passed, 2 * sum(step)::bigint as steps
+        from steps group by all""",
     "ride_distance": f"""
         with {_RIDES}
         select ride_id, is_start, round({_RIDE_DISTANCE}, 6) as distance from rides""",
@@ -288,7 +354,10 @@ ORACLES: dict[str, str] = {
           then {_point_distance('start_lon', 'start_lat')}
           else {_point_distance('end_lon', 'end_lat')} end, 6) as distance
         from rides""",
-    "random_points": "select event_id, true as is_inside from events",
+    "random_points": f"""
+        select event_id, cast(-73.7e0 - (-73.7e0 - -74.05e0) * {_uniform(7)} as float) as lon,
+          cast(40.5e0 + (41.0e0 - 40.5e0) * {_uniform(8)} as float) as lat
+        from events""",
     "ride_features": f"""
         with {_FEATURES}
         select ride_id, taxi_id, direction, round(distance, 6) as distance, travel_time, event_ms
@@ -299,22 +368,19 @@ ORACLES: dict[str, str] = {
     "predict_travel_time": f"""
         with {_MODEL}
         select ride_id, bucket, {_PREDICTED} from bucketed left join model using (bucket)""",
-    "prequential_travel_time": f"""
-        with {_FEATURES},
-        seen as (
-          select ride_id, bucket, distance, count(*) over earlier as n,
-            sum(distance*distance) over earlier as sum_xx,
-            sum(distance*travel_time) over earlier as sum_xy
-          from bucketed
-          window earlier as (partition by bucket order by event_ms, ride_id
-            rows between unbounded preceding and 1 preceding)
-        )
-        select ride_id, bucket, {_PREDICTED} from seen""",
+    "prequential_travel_time": _PREQUENTIAL,
+    "prequential_travel_time_stream": _PREQUENTIAL,
     "keyed_tuples": f"""
         with {_TUPLES}
         select source_id, tuple_id, value from tuples_1
         union all select source_id, tuple_id, value from tuples_2""",
-    "map_increment": f"with {_TUPLES} select source_id, tuple_id, value + 1 as value from tuples_1",
+    "map_increment": f"""
+        with {_TUPLES}
+        select source_id, tuple_id, value + 1 as value from tuples_1
+        union all select source_id, tuple_id, value + 1 as value from tuples_2""",
+    "ingestion_stamps": f"""
+        with {_TUPLES}
+        select source_id, tuple_id, value, epoch_us(ts) as event_us, true as in_run, true as replaced from tuples_1""",
     "window_join": _WINDOW_JOIN,
     "window_join_stream": _WINDOW_JOIN,
     "earliest_stop": f"""
@@ -328,6 +394,15 @@ ORACLES: dict[str, str] = {
           coalesce(min(case when speed = 0 then ts_ms end), 9223372036854775807)
           as earliest_stop_ms
         from cars group by all""",
+    "earliest_stop_stream": f"""
+        with {_on_time(_STOP_RECORDS, 30_000)}
+        select car_id, window_start_ms, coalesce(min(case when stopped then event_ms end), 9223372036854775807)
+          as earliest_stop_ms
+        from on_time group by car_id, window_start_ms""",
+    "rides_per_window_stream": f"""
+        with {_on_time(_RIDE_RECORDS, DAY_MS)}
+        select window_start_ms, count(*) as n_records, count(*) filter (where is_start) as n_starts
+        from on_time group by window_start_ms""",
     "lateness_audit": """
         with arrivals as (
           select event_type as source, event_id, epoch_us(ts)//1000 as ts_ms,
@@ -349,7 +424,7 @@ ORACLES: dict[str, str] = {
         with {_CARS} select id, car_id, speed, ts_ms//1000*1000 as ts_ms from cars""",
     "fan_out_rides": f"""
         with {_RIDES},
-        lines as (select {_LINE_ROUNDTRIP} as value, unnest([1, 2, 3]) as sink from rides)
+        lines as (select {_LINE_REFERENCE} as value, unnest([1, 2, 3]) as sink from rides)
         select value, cast(sink as integer) as sink from lines""",
     "order_rides": f"""
         with {_RIDES}

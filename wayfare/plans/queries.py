@@ -12,19 +12,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions import codecs, geo
-from wayfare.functions.grid_path import grid_path
+from wayfare.functions.grid_path import path_cells
 from wayfare.functions.mail import MAIL_PREFIX, RECORD_DELIMITER, mail_line, parse_mails
 from wayfare.operators import ordering, travel_time, windows
 from wayfare.session import new_folder, use_utc
 from wayfare.sources import tables, text
 from wayfare.sources.messages import decode_rides
 from wayfare.sources.tuples import increment_value
-from wayfare.streaming import jobs, sinks
+from wayfare.streaming import jobs, sinks, staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 HOUR_MS = 3_600_000
 JOIN_WINDOW_MS = 6 * HOUR_MS
+DAY_MS = 24 * HOUR_MS
+#: micro-batches in which a staged table is read
+BATCHES = 8
 #: the point distances are measured to
 POINT = (-73.9857, 40.7484)
 
@@ -204,16 +207,28 @@ def cell_center(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def grid_path_cells(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole way of every completed ride, in one text to compare the order of cells, too."""
-    completed = _rides(spark, folder).filter(~F.col("is_start"))
-    ways = completed.select("ride_id", grid_path(*_corners()).alias("cells"))
-    return ways.select(
-        "ride_id",
-        F.size("cells").alias("n_cells"),
-        F.array_join("cells", " ").alias("path"),
+    """All cells on the way of every record, added up so that each cell and its place in the order count."""
+    ways = _rides(spark, folder).select("ride_id", "is_start", *("start_lon", "start_lat", "end_lon", "end_lat"))
+    cells = path_cells(ways, *_corners()).select("ride_id", "is_start", "step", F.col("cell").cast("bigint").alias("cell"))
+    return cells.groupBy("ride_id", "is_start").agg(
+        F.count("*").alias("n_cells"),
+        F.max("step").alias("last_step"),
+        F.sum("cell").alias("cell_sum"),
+        F.sum(F.col("step") * F.col("cell")).alias("ordered_sum"),
+        F.sum(F.col("step") * F.col("step") * F.col("cell")).alias("twice_ordered_sum"),
+        F.min("cell").alias("least_cell"),
+        F.max("cell").alias("largest_cell"),
     )
 
 
+@query
+def grid_traffic(spark: SparkSession, folder: str) -> DataFrame:
+    """How many records pass each cell, and how far into their way."""
+    ways = _rides(spark, folder).select("start_lon", "start_lat", "end_lon", "end_lat")
+    cells = path_cells(ways, *_corners())
+    return cells.groupBy("cell").agg(F.count("*").alias("n_passed"), F.sum("step").alias("steps"))
+
+
 @query
 def ride_distance(spark: SparkSession, folder: str) -> DataFrame:
     distance = F.round(geo.euclidean_distance(*_corners()), 6)
@@ -234,13 +249,10 @@ def distance_to_point(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def random_points(spark: SparkSession, folder: str) -> DataFrame:
-    """Points differ with the partitioning, but each lies in the box (within float precision)."""
-    points = _events(spark, folder).select(
-        "event_id", geo.random_nyc_lon(7).alias("lon"), geo.random_nyc_lat(8).alias("lat")
+    event = F.col("event_id")
+    return _events(spark, folder).select(
+        "event_id", geo.random_nyc_lon(7, event).alias("lon"), geo.random_nyc_lat(8, event).alias("lat")
     )
-    lon_inside = F.col("lon").between(geo.LON_WEST - 1e-5, geo.LON_EAST + 1e-5)
-    lat_inside = F.col("lat").between(geo.LAT_SOUTH - 1e-5, geo.LAT_NORTH + 1e-5)
-    return points.select("event_id", (lon_inside & lat_inside).alias("is_inside"))
 
 
 # -- travel time -------------------------------------------------------------------------------
@@ -295,6 +307,21 @@ def prequential_travel_time(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("ride_id", "bucket", "predicted_time")
 
 
+@query
+def prequential_travel_time_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same record by record on a stream, started twice: the second run goes on where the first ended."""
+    staged, files = staging.stage_in_order(_features(spark, folder), [F.col("event_time"), F.col("ride_id")], 4)
+    schema = spark.read.parquet(staged).schema
+    out = new_folder(spark, "predictions")
+    for _ in range(2):
+        features = staging.read_in_order(spark, staged, schema, files)
+        jobs.predict_then_refine(
+            features, f"{out}/times", f"{out}/model", f"{out}/checkpoint", available_now=True
+        ).awaitTermination()
+    times = spark.read.schema("ride_id bigint, bucket int, predicted_time int").parquet(f"{out}/times")
+    return times.select("ride_id", "bucket", "predicted_time")
+
+
 # -- keyed tuples and windows ------------------------------------------------------------------
 
 
@@ -307,8 +334,29 @@ def keyed_tuples(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def map_increment(spark: SparkSession, folder: str) -> DataFrame:
-    tuples = increment_value(tables.left_tuples(_events(spark, folder)))
-    return tuples.select("source_id", "tuple_id", "value")
+    events = _events(spark, folder)
+    both = [increment_value(side(events)) for side in (tables.left_tuples, tables.right_tuples)]
+    return both[0].unionByName(both[1]).select("source_id", "tuple_id", "value")
+
+
+@query
+def ingestion_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """Tuples of a stream stamped twice as they pass: the event time is gone, the stamp lies within the run."""
+    started = spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
+    tuples = tables.left_tuples(tables.stream_table(spark, folder, "events"))
+    timed = tuples.withColumn("event_us", F.unix_micros("event_ts"))
+    stamped = windows.with_ingestion_time(windows.with_ingestion_time(timed))
+    rows = jobs.run_to_files(stamped)
+    ended = spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
+    stamp = F.unix_micros("event_ts")
+    return rows.select(
+        "source_id",
+        "tuple_id",
+        "value",
+        "event_us",
+        stamp.between(started, ended).alias("in_run"),
+        (stamp != F.col("event_us")).alias("replaced"),
+    )
 
 
 @query
@@ -321,12 +369,13 @@ def window_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def window_join_stream(spark: SparkSession, folder: str) -> DataFrame:
-    left = tables.left_tuples(tables.stream_table(spark, folder, "events"))
-    right = tables.right_tuples(tables.stream_table(spark, folder, "events"))
-    # files of a table are in no order of time, so any record may come after any other
-    delay = tables.seconds_spanned(_events(spark, folder), "ts")
-    joined = jobs.increment_and_join(left, right, JOIN_WINDOW_MS, salts=4, max_delay_secs=delay)
-    return jobs.run_to_files(joined)
+    """Events staged in the order of time, so that no record is late and state is that of the open windows."""
+    events = _events(spark, folder).select("event_id", "user_id", "ts")
+    hot = jobs.hot_keys_of(tables.left_tuples(events), tables.right_tuples(events), JOIN_WINDOW_MS)
+    staged, files = staging.stage_in_order(events, [F.col("ts"), F.col("event_id")], BATCHES)
+    streams = [staging.read_in_order(spark, staged, events.schema, files) for _ in range(2)]
+    left, right = tables.left_tuples(streams[0]), tables.right_tuples(streams[1])
+    return jobs.run_to_files(jobs.increment_and_join(left, right, JOIN_WINDOW_MS, hot))
 
 
 @query
@@ -339,6 +388,27 @@ def earliest_stop_per_window(spark: SparkSession, folder: str) -> DataFrame:
     return windows.earliest_stop(_cars(spark, folder), size_ms=24 * HOUR_MS)
 
 
+def _arriving(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as a stream in the order of their arrival."""
+    events = tables.late_arrivals(_events(spark, folder)).drop("props")
+    staged, files = staging.stage_in_order(events, [F.col("arrival_ms"), F.col("event_id")], BATCHES)
+    return staging.read_in_order(spark, staged, events.schema, files)
+
+
+@query
+def earliest_stop_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows that are over; events that come after their window was closed do not count."""
+    cars = tables.cars(_arriving(spark, folder))
+    return jobs.run_to_files(jobs.earliest_stop_per_window(cars, DAY_MS))
+
+
+@query
+def rides_per_window_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for rides, which may be a day late."""
+    rides = tables.rides(_arriving(spark, folder))
+    return jobs.run_to_files(jobs.rides_per_window(rides, DAY_MS, max_delay_secs=86_400))
+
+
 @query
 def lateness_audit(spark: SparkSession, folder: str) -> DataFrame:
     arrivals = tables.arrivals(_events(spark, folder))
@@ -372,12 +442,12 @@ def cars_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fan_out_rides(spark: SparkSession, folder: str) -> DataFrame:
-    """Ride files streamed to three sinks; each sink must hold every ride."""
+    """Ride files streamed to three sinks as the lines they came in; each sink must hold every ride."""
     path = _stored_lines(sinks.encode_rides(_rides(spark, folder), "roundtrip"))
     out = new_folder(spark, "sinks")
     writers = [sinks.file_batch_writer(f"{out}/sink={number}", "text") for number in (1, 2, 3)]
     jobs.fan_out_rides(
-        spark, path, writers, f"{out}-checkpoint", "roundtrip", available_now=True
+        spark, path, writers, f"{out}-checkpoint", available_now=True
     ).awaitTermination()
     return spark.read.schema("value string, sink int, batch_id bigint").text(out).drop("batch_id")
 
