@@ -25,8 +25,9 @@ therefore made piece by piece: a piece starts a few columns early, with that one
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -82,14 +83,22 @@ class _Stretches:
 
     def cells(self, low: int = 0, high: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The way and the id of the cells from number ``low`` up to ``high`` of all."""
-        through = np.cumsum(self.rows)
-        numbers = np.arange(low, through[-1] if high is None else min(high, through[-1]))
-        entry = np.searchsorted(through, numbers, "right")
-        place = numbers - (through[entry] - self.rows[entry])
-        return self.way[entry], (self.cell[entry] + place * self.step[entry]).astype(np.int32)
-
+        high = self.count if high is None else min(high, self.count)
+        first, last = np.searchsorted(self.through, [low, high - 1], "right")
+        part = slice(first, last + 1)
+        before = self.through[part] - self.rows[part]
+        skipped = np.maximum(low - before, 0)
+        entry, place = _ranges(np.minimum(self.through[part], high) - before - skipped)
+        cells = self.cell[part][entry] + (place + skipped[entry]) * self.step[part][entry]
+        return self.way[part][entry], cells.astype(np.int32)
+
+    @cached_property
+    def through(self) -> np.ndarray:
+        return np.cumsum(self.rows)
+
+    @property
     def count(self) -> int:
-        return int(self.rows.sum())
+        return int(self.through[-1])
 
 
 def _stretches(
@@ -175,7 +184,7 @@ def stream_of_cells(
             pieces = _pieces_of_a_way(x1[ways], y1[ways], x2[ways], y2[ways], size)
         last, steps = -1, 0
         for piece in pieces:
-            for low in range(0, piece.count(), CELLS_PER_BATCH):
+            for low in range(0, piece.count, CELLS_PER_BATCH):
                 way, cells = piece.cells(low, low + CELLS_PER_BATCH)
                 # the first cells may go on a way, the others count from their own start
                 place = np.arange(len(way)) - np.searchsorted(way, way)
@@ -193,14 +202,25 @@ def _pieces_of_a_way(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndar
         run_start = int(piece.run_start[-_LEAD]) if high - low >= _LEAD else 0
 
 
-def path_cells(df: DataFrame, lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> DataFrame:
+def path_cells(
+    df: DataFrame,
+    lon1: Column,
+    lat1: Column,
+    lon2: Column,
+    lat2: Column,
+    keep: Sequence[str] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
     """A row for each cell on the way of each row, with its ``step`` (from 0, west to east) and ``cell``.
 
-    Ways of any length; rows with an unknown corner have no cells. The other columns come along in every row.
+    Ways of any length; rows with an unknown corner have no cells. The columns to ``keep`` (all) come along in every row.
+    A row makes hundreds of cells, so few large files leave most tasks idle: ``partitions`` deals the rows out before.
     """
     corners = ["_x1", "_y1", "_x2", "_y2"]
-    ends = dict(zip(corners, (grid_x(lon1), grid_y(lat1), grid_x(lon2), grid_y(lat2))))
-    schema = T.StructType([*df.schema, T.StructField("step", T.LongType()), T.StructField("cell", T.IntegerType())])
+    ends = [c.alias(name) for name, c in zip(corners, (grid_x(lon1), grid_y(lat1), grid_x(lon2), grid_y(lat2)))]
+    ways = df.select(*(df.columns if keep is None else keep), *ends)
+    kept = [field for field in ways.schema if field.name not in corners]
+    schema = T.StructType([*kept, T.StructField("step", T.LongType()), T.StructField("cell", T.IntegerType())])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,7 +236,7 @@ def path_cells(df: DataFrame, lon1: Column, lat1: Column, lon2: Column, lat2: Co
                     [*taken.columns, pa.array(step), pa.array(cells)], [*others.schema.names, "step", "cell"]
                 )
 
-    return df.withColumns(ends).mapInArrow(walk, schema)
+    return (ways.repartition(partitions) if partitions else ways).mapInArrow(walk, schema)
 
 
 def _chunks(work: np.ndarray) -> Iterator[slice]:

@@ -205,11 +205,15 @@ def cell_center(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query
 def grid_path_cells(spark: SparkSession, folder: str) -> DataFrame:
     """All cells on the way of every record, added up so that each cell and its place in the order count."""
-    ways = _rides(spark, folder).select("ride_id", "is_start", *("start_lon", "start_lat", "end_lon", "end_lat"))
-    cells = path_cells(ways, *_corners()).select("ride_id", "is_start", "step", F.col("cell").cast("bigint").alias("cell"))
+    ways = path_cells(_rides(spark, folder), *_corners(), ["ride_id", "is_start"], _partitions(spark))
+    cells = ways.withColumn("cell", F.col("cell").cast("bigint"))
     return cells.groupBy("ride_id", "is_start").agg(
         F.count("*").alias("n_cells"),
         F.max("step").alias("last_step"),
@@ -224,8 +228,7 @@ def grid_path_cells(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def grid_traffic(spark: SparkSession, folder: str) -> DataFrame:
     """How many records pass each cell, and how far into their way."""
-    ways = _rides(spark, folder).select("start_lon", "start_lat", "end_lon", "end_lat")
-    cells = path_cells(ways, *_corners())
+    cells = path_cells(_rides(spark, folder), *_corners(), [], _partitions(spark))
     return cells.groupBy("cell").agg(F.count("*").alias("n_passed"), F.sum("step").alias("steps"))
 
 
@@ -372,7 +375,7 @@ def window_join_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Events staged in the order of time, so that no record is late and state is that of the open windows."""
     events = _events(spark, folder).select("event_id", "user_id", "ts")
     hot = jobs.hot_keys_of(tables.left_tuples(events), tables.right_tuples(events), JOIN_WINDOW_MS)
-    staged, files = staging.stage_in_order(events, [F.col("ts"), F.col("event_id")], BATCHES)
+    staged, files = staging.stage_in_order(events, [F.col("ts"), F.col("event_id")], 4)
     streams = [staging.read_in_order(spark, staged, events.schema, files) for _ in range(2)]
     left, right = tables.left_tuples(streams[0]), tables.right_tuples(streams[1])
     return jobs.run_to_files(jobs.increment_and_join(left, right, JOIN_WINDOW_MS, hot))

@@ -11,7 +11,12 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-_DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE = "spark.sql.streaming.stateStore"
+#: state on disk, of which a micro-batch writes what it changed and not all
+_DISK_STATE = {
+    f"{_STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 _local_folder: str | None = None
 
@@ -32,7 +37,7 @@ def build_session(app_name: str = "wayfare", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # the state of a stream join is kept on disk, not in the heap of the executors
-        "spark.sql.streaming.stateStore.providerClass": _DISK_STATE,
+        **_DISK_STATE,
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     for key, value in settings.items():
@@ -79,13 +84,14 @@ def disk_state(spark: SparkSession) -> Iterator[None]:
     A stream keeps the settings of the session it starts in; one that was started before with another store goes on
     with the store its checkpoint names.
     """
-    key = "spark.sql.streaming.stateStore.providerClass"
-    configured = spark.conf.get(key, None)
-    spark.conf.set(key, _DISK_STATE)
+    configured = {key: spark.conf.get(key, None) for key in _DISK_STATE}
+    for key, value in _DISK_STATE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(key) if configured is None else spark.conf.set(key, configured)
+        for key, value in configured.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 @contextmanager
