@@ -12,7 +12,7 @@ import sentencepiece
 
 import corpus_pipeline
 from test_simhash import brute_components, brute_fingerprint
-from wayfare.llm import oracles, quality, queries
+from wayfare.llm import mixture, oracles, quality, queries, simhash
 from wayfare.llm.words import WordCodes
 
 FOLDER = "/root/testdata/sf0.001"
@@ -109,14 +109,28 @@ def test_pieces(steps):
         ids = library.encode(row["text"])
         want[row["doc_id"], len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids))] += 1
     assert bag(after, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+    assert all(digest(",".join(map(str, row["ids"]))) == row["ids_sha256"] for row in after)
 
 
 def test_run_equals_the_stages(spark, steps):
     got = corpus_pipeline.run(spark, FOLDER)
-    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes"]
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     assert got.count() > 0
 
 
+def test_columns_of_any_name_come_along(spark):
+    schema = "doc_id long, text string, source string, `_copy` int, copy int, row string, id long, mark int, `_size` int, part int, key int, nth int, parts int"
+    rows = [(i % 40, f"word{i % 40} " * (3 + i % 5), "ab"[i % 2], *[i] * 2, "r", *[i] * 7) for i in range(60)]
+    docs = spark.createDataFrame(rows, schema)
+    first = simhash.first_of_each(docs)
+    mixed = mixture.mixed_rows(docs, 3)
+    assert first.columns == mixed.columns == docs.columns
+    known = {tuple(r)[3:] for r in rows}
+    for frame in (first, mixed):
+        found = frame.collect()
+        assert found and all(tuple(row)[3:] in known for row in found)
+
+
 def test_empty_table(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -29,6 +29,19 @@ def test_odd_pages(page, text):
     assert pages.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<article class="post category-search"><p>x</p></article>', "x"), ('<main class="has-sidebar search"><p>x</p></main>', "x"),
+        ('<div id="page" class="no-sidebar"><p>x</p></div>', "x"), ('<article id="comment-4"><p>x</p></article><p>y</p>', "y"),
+        ('<div class="site-footer">x</div><div class="body-with-ads">y</div>', ""),
+        ('<nav class="no-js"><p>x</p></nav><article class="widget ad"><div class="ad-box">z</div><p>y</p></article>', "y"),
+    ],
+)
+def test_classes_of_wrappers_and_main_elements(page, text):
+    assert pages.main_text(page) == text
+
+
 def brute_length(a, b):
     row = [0] * (len(b) + 1)
     for x in a:

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wayfare.llm.fmindex import FMIndex, WaveletTree
 from wayfare.llm.substrings import kept_digests, segments, without_repeats
@@ -102,3 +103,15 @@ def test_repeated_rows_and_no_ids(spark):
     digests = {r["n_words"]: r["kept_sha256"] for r in kept_digests(frame).collect()}
     assert digests[51] == hashlib.sha256(b"more").hexdigest()
     assert kept_digests(frame.limit(0)).collect() == []
+
+
+def test_rows_without_ids_whose_short_hashes_collide(spark):
+    names = spark.range(400_000).select(F.concat(F.lit("name"), "id").alias("name"))
+    text = F.concat_ws(" ", F.array_repeat("name", 3), F.lit(" ".join(f"w{i % 37}" for i in range(90))))
+    pairs = names.groupBy(F.hash(text).alias("h")).agg(F.min("name").alias("a"), F.max("name").alias("b")).filter("a < b")
+    a, b = pairs.orderBy("a").first()[1:]
+    shared = " ".join(f"w{i % 37}" for i in range(90))
+    texts = [f"{a} {a} {a} {shared}", f"{b} {b} {b} {shared}", "some other words " + shared[:150], None, "x y"]
+    got = kept_digests(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"))
+    want = Counter((n, gone, hashlib.sha256(kept.encode()).hexdigest()) for n, gone, kept in brute(texts, 35))
+    assert Counter((r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()) == want

@@ -156,13 +156,14 @@ def taken_words(
 def mixed_rows(df: DataFrame, seed: int, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """The rows of the mix: each document as often as it is taken, cut to the words taken where it is taken in part.
 
-    Documents that are taken whole keep their text; in a cut one, words are joined by one space.
+    Documents that are taken whole keep their text; in a cut one, words are joined by one space. Columns of any name come
+    along.
     """
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    keyed = df.withColumn("_key", key)
-    sizes = keyed.select(F.col("_key").alias("doc_id"), F.col(source_col).alias("source"), count_words(F.col(text_col)).alias("size"))
+    keyed = df.select(F.struct("*").alias("row"), key.alias("key"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    sizes = keyed.select(F.col("key").alias("doc_id"), "source", count_words(F.col("text")).alias("size"))
     taken = taken_words(sizes, seed).withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "source").orderBy("from_word", "to_word", "wrap_words")))
-    keyed = keyed.withColumn("_nth", F.row_number().over(Window.partitionBy("_key", source_col).orderBy(F.lit(0))))
+    keyed = keyed.drop("text").withColumn("nth", F.row_number().over(Window.partitionBy("key", "source").orderBy(F.lit(0))))
     part = lambda first, last: F.struct(first.cast("bigint").alias("first"), last.cast("bigint").alias("last"))
     parts = F.concat(
         F.array_repeat(part(F.lit(0), F.col("size")), F.col("copies").cast("int")),
@@ -172,19 +173,20 @@ def mixed_rows(df: DataFrame, seed: int, text_col: str = "text", source_col: str
         ),
     )
     taken = taken.select(
-        F.col("doc_id").alias("_taken_key"), F.col("source").alias("_taken_source"), F.col("nth").alias("_taken_nth"),
-        F.col("size").alias("_size"), parts.alias("_parts"),
+        F.col("doc_id").alias("taken_key"), F.col("source").alias("taken_source"), F.col("nth").alias("taken_nth"), "size",
+        parts.alias("parts"),
     )
     same = (
-        (keyed["_key"] == taken["_taken_key"])
-        & (keyed["_nth"] == taken["_taken_nth"])
-        & keyed[source_col].eqNullSafe(taken["_taken_source"])
+        (keyed["key"] == taken["taken_key"])
+        & (keyed["nth"] == taken["taken_nth"])
+        & keyed["source"].eqNullSafe(taken["taken_source"])
     )
-    rows = keyed.join(taken, same).withColumn("_part", F.explode("_parts"))
-    first, count = F.col("_part.first").cast("int"), (F.col("_part.last") - F.col("_part.first")).cast("int")
-    words = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)), first + 1, count)
-    text = F.when(count == F.col("_size"), F.col(text_col)).otherwise(F.array_join(words, " "))
-    return rows.select(*(text.alias(c) if c == text_col else F.col(c) for c in df.columns))
+    rows = keyed.join(taken, same).select("row", "size", F.explode("parts").alias("part"))
+    first, count = F.col("part.first").cast("int"), (F.col("part.last") - F.col("part.first")).cast("int")
+    whole = F.col("row")[text_col]
+    words = F.slice(F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)), first + 1, count)
+    text = F.when(count == F.col("size"), whole).otherwise(F.array_join(words, " "))
+    return rows.select(*((text if c == text_col else F.col("row")[c]).alias(c) for c in df.columns))
 
 
 def count_words(text):

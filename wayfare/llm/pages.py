@@ -46,6 +46,8 @@ NAMES = frozenset(
     "comment comments reply replies respond disqus discussion share sharing social related recommended newsletter subscribe signup login "
     "search widget".split()
 )
+#: before a name of the list, these say that an element has such a part, not that it is one
+OF_THE_WHOLE = frozenset("no has with without hide show".split())
 READERS = frozenset("comment comments reply replies respond disqus discussion".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.DOTALL)
@@ -110,11 +112,9 @@ def lines(page: str) -> tuple[list[str], list[int]]:
             continue
         if name in VOID or match[3].endswith("/"):
             continue
-        words: set[str] = set()
-        if match[3] and "=" in match[3]:
-            for value in _NAMED.findall(match[3]):
-                words.update(re.split(r"[^a-z0-9]+", "".join(value).lower()))
-        named = bool(words & NAMES)
+        words = _names(match[3]) if match[3] and "=" in match[3] else set()
+        # a main element is that, whatever its classes, unless readers wrote it
+        named = bool(words & (READERS if name in MAIN else NAMES))
         if dropping:
             if name in MAIN and not named and not readers:
                 # an element left open does not swallow the main text
@@ -132,6 +132,17 @@ def lines(page: str) -> tuple[list[str], list[int]]:
     return found, kinds
 
 
+def _names(attributes: str) -> set[str]:
+    """Words of the class, id and role of an element."""
+    words: set[str] = set()
+    for value in _NAMED.findall(attributes):
+        for token in "".join(value).lower().split():
+            parts = re.split(r"[^a-z0-9]+", token)
+            if parts[0] not in OF_THE_WHOLE:
+                words.update(parts)
+    return words
+
+
 def main_text(page: str, deleted: frozenset[int] = frozenset()) -> str:
     found, kinds = lines(page)
     wanted = INSIDE if INSIDE in kinds else OUTSIDE
