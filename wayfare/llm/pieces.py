@@ -355,3 +355,28 @@ def round_trip_udf(model: bytes):
             )
 
     return round_trip
+
+
+def tokens_udf(model: bytes):
+    """Column function of a binary text: struct of ``ids`` and of digests of them and of what they decode to."""
+
+    @F.arrow_udf("struct<ids: array<int>, ids_sha256: string, decoded_sha256: string>")
+    def tokens(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoder = _codec(model)
+        names = [str(number) for number in range(decoder.get_piece_size())]
+        for batch in texts:
+            parts, digests, decoded = [], [], []
+            for text in batch.to_pylist():
+                ids, _, _ = encoder.encode(text or b"")
+                # four bytes an id while the batch is made, not a list of numbers
+                parts.append(np.array(ids, np.int32))
+                digests.append(hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest())
+                decoded.append(hashlib.sha256(decoder.decode(ids).encode() if ids else b"").hexdigest())
+            offsets = np.concatenate([[0], np.cumsum([len(part) for part in parts])]).astype(np.int32)
+            flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
+            yield pa.StructArray.from_arrays(
+                [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
+                ["ids", "ids_sha256", "decoded_sha256"],
+            )
+
+    return tokens
