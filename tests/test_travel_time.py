@@ -53,6 +53,13 @@ def test_predictions_by_key(points):
     }
 
 
+def test_a_model_in_parts_is_added_up(points):
+    parts = travel_time.fit(points.filter("ride_id < 2")).unionByName(travel_time.fit(points.filter("ride_id >= 2")))
+    asked = points.select("ride_id", "direction", "distance")
+    whole = travel_time.predict(asked, travel_time.fit(points))
+    assert sorted(travel_time.predict(asked, parts).collect()) == sorted(whole.collect())
+
+
 def test_model_of_all_rides_is_broadcast(points):
     plan = travel_time.predict(points, travel_time.fit(points))._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan

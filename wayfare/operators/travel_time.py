@@ -101,18 +101,28 @@ def predict(
 ) -> DataFrame:
     """Add ``bucket`` and ``predicted_time`` to points with ``direction`` and ``distance``.
 
-    Without keys a model has one row per bucket, eight at most, and is broadcast; with keys it can
+    Without keys a model is added up to one row per bucket, eight at most, and is broadcast; with keys it can
     be of any size, and the join strategy is left to the optimizer.
     """
     points = points.withColumn("bucket", direction_bucket(F.col("direction"), mode))
-    # never null, so the join adds no null check that would be pushed through the fit
-    model_bucket = F.coalesce("bucket", F.lit(-1)).alias("bucket")
-    model = model.select(*keys, model_bucket, "n", "sum_xx", "sum_xy")
-    joined = points.join(model if keys else F.broadcast(model), [*keys, "bucket"], "left")
+    joined = points.join(_looked_up(model, keys), [*keys, "bucket"], "left")
     prediction = predicted_time(*(F.col(c) for c in ("n", "sum_xx", "sum_xy", "distance")))
     return joined.withColumn("predicted_time", prediction).drop("n", "sum_xx", "sum_xy")
 
 
+def _looked_up(model: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The model as the other side of a join. Without keys it is broadcast, as one row for each bucket that there can be."""
+    # never null, so the join adds no null check that would be pushed through the fit
+    bucket = F.coalesce("bucket", F.lit(-1)).alias("bucket")
+    rows = model.select(*keys, bucket, "n", "sum_xx", "sum_xy")
+    if keys:
+        return rows
+    known = rows.filter(F.col("bucket").between(0, BUCKETS - 1)).groupBy("bucket")
+    return F.broadcast(
+        known.agg(F.sum("n").alias("n"), *(F.sum(c).cast(SUM).alias(c) for c in ("sum_xx", "sum_xy")))
+    )
+
+
 def prequential(
     features: DataFrame,
     keys: Sequence[str] = (),
@@ -146,8 +156,8 @@ def prequential(
 def _with_model(seen: DataFrame, model: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Sums over the points before, and those of a model of earlier points."""
     names = ("n", "sum_xx", "sum_xy")
-    earlier = model.select(*keys, F.coalesce("bucket", F.lit(-1)).alias("bucket"), *(F.col(c).alias(f"_model_{c}") for c in names))
-    joined = seen.join(earlier if keys else F.broadcast(earlier), [*keys, "bucket"], "left")
+    earlier = _looked_up(model, keys).withColumnsRenamed({c: f"_model_{c}" for c in names})
+    joined = seen.join(earlier, [*keys, "bucket"], "left")
     zero = {"n": F.lit(0).cast("bigint"), "sum_xx": F.lit(0).cast(TERM), "sum_xy": F.lit(0).cast(TERM)}
     kind = {"n": "bigint", "sum_xx": TERM, "sum_xy": TERM}  # a sum of two such is exact
     return joined.withColumns(
