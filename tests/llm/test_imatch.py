@@ -1,11 +1,13 @@
 import hashlib
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from wayfare.llm import imatch
-from wayfare.llm.words import WordCodes
 
 
 def made_up():
@@ -22,16 +24,33 @@ def frame(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, guest string, chain int")
 
 
-def test_lexicon_is_the_band(frame):
-    got = imatch.lexicon(frame, most_share=0.2)
-    words = WordCodes()
-    counts = np.zeros(imatch.BUCKETS, int)
-    for text in made_up():
-        for bucket in {words[w] % imatch.BUCKETS for w in (text or "").encode().split()}:
-            counts[bucket] += 1
-    want = (counts >= imatch.LEAST_TEXTS) & (counts <= int(0.2 * len(made_up())))
-    assert (np.unpackbits(got.bits, bitorder="little").astype(bool) == want).all()
-    assert 0 < want.sum() < (counts > 0).sum()
+def band(texts, least, most):
+    counts = Counter(w for text in texts for w in set((text or "").encode().split()))
+    return sorted(xxhash.xxh64_intdigest(w) for w, n in counts.items() if least <= n <= most)
+
+
+@pytest.mark.parametrize("room", [imatch.COUNTED_TERMS, 100])
+def test_lexicon_is_the_band(frame, room, monkeypatch):
+    monkeypatch.setattr(imatch, "COUNTED_TERMS", room)
+    want = band(made_up(), imatch.LEAST_TEXTS, int(0.2 * len(made_up())))
+    assert imatch.lexicon(frame, most_share=0.2).terms().tolist() == want and len(want) > 1000
+
+
+@pytest.mark.parametrize("bound", [1 << 22, 3000, 1500])
+def test_lexicon_has_a_bound(frame, bound):
+    """The rarest terms go first, however few the bound leaves."""
+    counts = Counter(w for text in made_up() for w in set((text or "").split()))
+    least = max(2, math.ceil(sum(n for n in counts.values() if n >= 2) / bound))
+    got = imatch.lexicon(frame, most_share=0.2, most_terms=bound).terms()
+    assert got.tolist() == band(made_up(), least, 25) and 0 < len(got) <= bound
+
+
+def test_lexicon_of_two_million_terms(spark):
+    """Terms by themselves decide: of two million, those of an even number are in two texts, the others in one."""
+    text = "array_join(transform(sequence(id * 100, id * 100 + 99), n -> concat('t', if(id < 20000, n, 2 * (n - 2000000)))), ' ')"
+    frame = spark.range(0, 30000, numPartitions=8).selectExpr("id doc_id", f"{text} text")
+    got = imatch.lexicon(frame).terms()
+    assert np.array_equal(got, np.sort(np.array([xxhash.xxh64_intdigest(f"t{2 * n}") for n in range(1000000)], np.uint64)))
 
 
 def test_rows_against_brute_force(frame):

@@ -1,8 +1,10 @@
 """Document fingerprints by I-Match over several randomised lexicons.
 
 The lexicon holds the terms whose inverse document frequency lies in a band: terms in too few texts are mostly slips,
-those in too many say nothing. Document frequencies are counted over all texts, in a fixed number of hashed buckets, so
-that the lexicon has a proven size and can go to every task. A fingerprint is one hash per random subset of the lexicon,
+those in too many say nothing. Document frequencies are counted over all texts, for each term by its 64-bit code. The band
+ends where all the texts' terms together, divided by the texts of a term, give ``MOST_TERMS``: no more terms than that can
+be in so many texts each, so the lexicon has a proven size and can go to every task. With n terms in a text on average,
+that is one inverse document frequency, ``MOST_TERMS`` / n, for tables of any size. A fingerprint is one hash per random subset of the lexicon,
 taken over the sorted distinct terms of the text that are in the subset. Subsets keep from a half to a 256th of the
 lexicon, so that for texts of any length some subsets hold only a few of their terms.
 
@@ -20,14 +22,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.llm.packing import packed, unpacker
+from wayfare.llm.running import Stored
 from wayfare.llm.words import WordCodes, mixed
 
-#: buckets of the document frequencies; the lexicon is a bit for each
-BUCKETS = 1 << 20
+#: the lexicon has at most so many terms, of eight bytes each
+MOST_TERMS = 1 << 22
+
+#: a task adds up so many distinct terms before it passes them on
+COUNTED_TERMS = 1 << 22
 
 #: the band: terms of at least so many texts, and of at most this share of all texts
 LEAST_TEXTS = 2
@@ -42,53 +49,76 @@ _EMPTY = 0
 
 @dataclass(frozen=True)
 class Lexicon:
-    """``bits``: packed, one for each bucket that is in the band."""
-
-    bits: np.ndarray
-
-    def holds(self, codes: np.ndarray) -> np.ndarray:
-        bucket = _bucket(codes)
-        return (self.bits[bucket >> 3] >> (bucket & 7).astype(np.uint8) & 1).astype(bool)
+    """``codes``: a broadcast of the sorted codes of the terms in the band, as bytes."""
 
+    codes: Broadcast[bytes]
 
-def _bucket(codes: np.ndarray) -> np.ndarray:
-    return (codes % np.uint64(BUCKETS)).astype(np.int64)
+    def terms(self) -> np.ndarray:
+        return np.frombuffer(self.codes.value, np.uint64)
 
 
 def document_frequencies(df: DataFrame, text_col: str) -> DataFrame:
-    """(bucket, texts) over all rows; each task adds up its own buckets first."""
+    """(code, texts) over all rows; each task adds up its own terms first, in bounded room."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = WordCodes(), np.zeros(BUCKETS, np.int64)
+        words = WordCodes()
+        none = np.empty(0, np.uint64), np.empty(0, np.int64)
+        (codes, counts), new, size = none, [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts[np.unique(_bucket(words.of(list(set(text.split())))))] += 1
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["bucket", "texts"])
+                new.append(np.unique(words.of(list(set(text.split())))))
+                size += len(new[-1])
+                if size >= COUNTED_TERMS:
+                    (codes, counts), new, size = _added(codes, counts, new), [], 0
+                    if len(codes) >= COUNTED_TERMS:
+                        yield _frequencies(codes, counts)
+                        codes, counts = none
+        yield _frequencies(*_added(codes, counts, new))
 
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    partial = df.select(text).mapInArrow(count, "bucket long, texts long")
-    return partial.groupBy("bucket").agg(F.sum("texts").alias("texts"))
+    return df.select(text).mapInArrow(count, "code long, texts long").groupBy("code").agg(F.sum("texts").alias("texts"))
+
+
+def _added(codes: np.ndarray, counts: np.ndarray, new: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    every = np.concatenate([codes, *new])
+    weights = np.concatenate([counts, np.ones(len(every) - len(codes), np.int64)])
+    order = np.argsort(every)
+    every, weights = every[order], weights[order]
+    starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else order
+    return every[starts], np.add.reduceat(weights, starts) if len(every) else weights
+
+
+def _frequencies(codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64)), pa.array(counts)], ["code", "texts"])
 
 
 def lexicon(
-    df: DataFrame, text_col: str = "text", least_texts: int = LEAST_TEXTS, most_share: float = MOST_SHARE
+    df: DataFrame,
+    text_col: str = "text",
+    least_texts: int = LEAST_TEXTS,
+    most_share: float = MOST_SHARE,
+    most_terms: int = MOST_TERMS,
 ) -> Lexicon:
-    """The band of the table; at most a word of 64 buckets each goes to the driver."""
+    """The band of the table. Jobs run at once; at most eight bytes for each of ``most_terms`` go to the driver."""
     most = max(least_texts, int(df.count() * most_share))
-    inside = document_frequencies(df, text_col).filter(F.col("texts").between(least_texts, most))
-    packed = inside.groupBy((F.col("bucket") / 64).cast("int").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bucket % 64 as int))")).alias("bits")
-    )
-    words = np.zeros(BUCKETS // 64, np.int64)
-    for row in packed.collect():
-        words[row["word"]] = row["bits"]
-    return Lexicon(words.astype("<i8").view(np.uint8))
+    counted = Stored(document_frequencies(df, text_col).filter(F.col("texts") >= least_texts), "frequencies")
+    together = counted.rows.agg(F.sum("texts")).first()[0] or 0
+    least = max(least_texts, -(-together // most_terms))
+
+    def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy().tobytes()], pa.binary())], ["codes"])
+
+    inside = counted.rows.filter(F.col("texts").between(least, max(least, most))).select("code")
+    found = b"".join(row["codes"] for row in inside.mapInArrow(as_bytes, "codes binary").collect())
+    counted.drop()
+    codes = np.sort(np.frombuffer(found, np.uint64)).tobytes()
+    return Lexicon(df.sparkSession.sparkContext.broadcast(codes))
 
 
 class Fingerprinter:
     def __init__(self, lexicon: Lexicon):
-        self._lexicon, self._words = lexicon, WordCodes()
+        self._band, self._words = lexicon.terms(), WordCodes()
         number = np.arange(SUBSETS_PER_SHARE * HALVINGS, dtype=np.uint64)
         self._salt = mixed(number + np.uint64(1))[:, None]
         share = np.uint64(1) + number // np.uint64(SUBSETS_PER_SHARE)
@@ -97,7 +127,7 @@ class Fingerprinter:
     def __call__(self, text: bytes) -> np.ndarray:
         """A 32-bit hash for each subset; 0 for a subset without terms of the text."""
         codes = np.unique(self._words.of(list(set(text.split()))))
-        terms = codes[self._lexicon.holds(codes)]
+        terms = codes[self._holds(codes)]
         if not len(terms):
             terms = codes
         chosen = mixed(terms[None, :] ^ self._salt) >> np.uint64(32) < self._limit
@@ -107,6 +137,12 @@ class Fingerprinter:
         ]
         return np.array(hashes, np.uint32)
 
+    def _holds(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self._band):
+            return np.zeros(len(codes), bool)
+        at = np.minimum(np.searchsorted(self._band, codes), len(self._band) - 1)
+        return self._band[at] == codes
+
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Share of equal hashes among the subsets in which either text has terms."""

@@ -7,6 +7,9 @@ this order gives every shard whole numbers of blocks in the same proportions. A
 its blocks is passed through whole as often as needed; for the rest, consecutive blocks of the shuffled
 order are taken from a seeded start on, so that only documents at the two ends are cut.
 
+The blocks of a source, in the order in which they are passed through, go to the shards by its quotas, so each shard holds
+whole blocks in the proportions of the mix. A document that crosses the end of a shard's blocks is cut there.
+
 Everything on one row per source is a window over that small table; documents are placed by
 ``running.totals_before``, so a source may be of any size.
 
@@ -19,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.llm.running import group_key, kept, seeded_fraction, totals_before
@@ -110,7 +113,8 @@ def taken_words(
     """(doc_id, source, size) with ``source_size``, ``target`` and what the mix takes of each document.
 
     ``copies`` whole copies are taken, and words ``from_word`` (first is 0) to before ``to_word`` once more, then again
-    ``wrap_words`` words from the start, if the run of blocks ends where it began; ``taken`` is the sum.
+    ``wrap_words`` words from the start, if the run of blocks ends where it began; ``taken`` is the sum. ``shards`` has the
+    same words as an array of (shard, first, last), ``last`` not included.
     """
     drawn = kept(
         sizes.select("doc_id", "source", "size").withColumns(
@@ -119,7 +123,19 @@ def taken_words(
     )
     sources = drawn.groupBy("source", "_source").agg(F.sum("size").alias("source_size"))
     targets = kept(source_targets(sources.select("source", "source_size"), weights, share, passes))
-    quotas = shard_quotas(targets, block_words, shards).groupBy("number").agg(F.sum("quota").alias("quota"))
+    # what all shards up to each one get
+    ends = F.transform(
+        F.sequence(F.lit(0), F.lit(shards - 1)),
+        lambda s: F.aggregate(
+            F.filter("quotas", lambda q: q["shard"] <= s), F.lit(0).cast("bigint"), lambda total, q: total + q["quota"]
+        ),
+    )
+    quotas = (
+        shard_quotas(targets, block_words, shards)
+        .groupBy("number")
+        .agg(F.sum("quota").alias("quota"), F.collect_list(F.struct("shard", "quota")).alias("quotas"))
+        .withColumn("_ends", ends)
+    )
     blocks = F.ceil(F.col("source_size") / block_words)
     plan = kept(
         targets.join(quotas, "number", "left")
@@ -132,7 +148,8 @@ def taken_words(
         .withColumn("_begin", F.col("_first") * block_words)
         .withColumn("_end", F.least((F.col("_first") + F.col("_rest")) * block_words, F.col("source_size")))
         .withColumn("_wrap", F.greatest(F.lit(0), F.col("_first") + F.col("_rest") - F.col("_blocks")) * block_words)
-        .select("_source", "source_size", "target", "_passes", "_begin", "_end", "_wrap")
+        .withColumn("_ends", F.transform("_ends", lambda end: F.least(end, F.col("_quota"))))
+        .select("_source", "source_size", "target", "_passes", "_begin", "_end", "_wrap", "_blocks", "_first", "_ends")
     )
     placed = totals_before(drawn, "_source", "_draw", ["doc_id", "size"], F.col("size"), "_start", "_sum").drop("_sum")
     inside = {
@@ -149,23 +166,69 @@ def taken_words(
             "taken",
             F.col("copies") * F.col("size") + F.col("to_word") - F.col("from_word") + F.col("wrap_words"),
         )
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "from_word", "to_word", "wrap_words")
-    )
+        .withColumn("shards", _shard_parts(passes, block_words))
+        .select(
+            "doc_id", "source", "size", "source_size", "target", "taken", "copies", "from_word", "to_word", "wrap_words", "shards"
+        )
+    )
+
 
+def _shard_parts(passes: int, block_words: int) -> Column:
+    """The words of a document that are taken, cut where shards end.
+
+    Blocks are numbered as the source gives them: those of whole passes, then the run from ``_first`` on, then its wrap.
+    """
 
-def mixed_rows(df: DataFrame, seed: int, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
+    def run(first: Column, last: Column, block: Column) -> Column:
+        """Words ``first`` to before ``last`` of the document, with the number of the block with the source's first word."""
+        return F.struct(first.cast("bigint").alias("a"), last.cast("bigint").alias("b"), block.cast("bigint").alias("block"))
+
+    whole = [
+        F.when(F.col("copies") > p, run(F.lit(0), F.col("size"), p * F.col("_blocks"))) for p in range(passes)
+    ]
+    behind = F.col("_passes") * F.col("_blocks") - F.col("_first")
+    rest = [
+        run(F.col("from_word"), F.col("to_word"), behind),
+        run(F.lit(0), F.col("wrap_words"), behind + F.col("_blocks")),
+    ]
+
+    def cut(r: Column) -> Column:
+        at = lambda end: (end - r["block"]) * block_words - F.col("_start")
+        return F.transform(
+            "_ends",
+            lambda end, s: F.struct(
+                s.alias("shard"),
+                F.greatest(r["a"], at(F.when(s == 0, 0).otherwise(F.get("_ends", s - 1)))).alias("first"),
+                F.least(r["b"], at(end)).alias("last"),
+            ),
+        )
+
+    runs = F.filter(F.array(*whole, *rest), lambda r: r["b"] > r["a"])
+    return F.filter(F.flatten(F.transform(runs, cut)), lambda part: part["last"] > part["first"])
+
+
+def mixed_rows(
+    df: DataFrame,
+    seed: int,
+    text_col: str = "text",
+    source_col: str = "source",
+    id_col: str = "doc_id",
+    shard_col: str | None = None,
+) -> DataFrame:
     """The rows of the mix: each document as often as it is taken, cut to the words taken where it is taken in part.
 
     Documents that are taken whole keep their text; in a cut one, words are joined by one space. Columns of any name come
-    along.
+    along. ``shard_col`` names a column for the shard, at whose end documents are then cut; it must be a new one.
     """
+    if shard_col in df.columns:
+        raise ValueError(f"there is a column {shard_col} already")
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     keyed = df.select(F.struct("*").alias("row"), key.alias("key"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
     sizes = keyed.select(F.col("key").alias("doc_id"), "source", count_words(F.col("text")).alias("size"))
     taken = taken_words(sizes, seed).withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "source").orderBy("from_word", "to_word", "wrap_words")))
     keyed = keyed.drop("text").withColumn("nth", F.row_number().over(Window.partitionBy("key", "source").orderBy(F.lit(0))))
     part = lambda first, last: F.struct(first.cast("bigint").alias("first"), last.cast("bigint").alias("last"))
-    parts = F.concat(
+    parts = F.col("shards") if shard_col else F.concat(
         F.array_repeat(part(F.lit(0), F.col("size")), F.col("copies").cast("int")),
         F.filter(
             F.array(part(F.col("from_word"), F.col("to_word")), part(F.lit(0), F.col("wrap_words"))),
@@ -186,7 +249,10 @@ def mixed_rows(df: DataFrame, seed: int, text_col: str = "text", source_col: str
     whole = F.col("row")[text_col]
     words = F.slice(F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)), first + 1, count)
     text = F.when(count == F.col("size"), whole).otherwise(F.array_join(words, " "))
-    return rows.select(*((text if c == text_col else F.col("row")[c]).alias(c) for c in df.columns))
+    return rows.select(
+        *((text if c == text_col else F.col("row")[c]).alias(c) for c in df.columns),
+        *([F.col("part.shard").alias(shard_col)] if shard_col else []),
+    )
 
 
 def count_words(text):

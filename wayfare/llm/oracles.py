@@ -49,22 +49,44 @@ with sized as (
   select number, row_number() over (order by (2 * k + 1) / target, number) as seat
   from targets, range(0, (select round(sum(target) / 64)::bigint from targets)) t(k)
   where target > 0 and k <= target / 64 + (select count(*) from targets)
+), houses as (
+  select number, shard, count(*) filter (where seat <= (select round(sum(target) / 64)::bigint from targets) * (shard + 1) // 16)
+    as last_block
+  from seats, range(0, 16) s(shard) group by number, shard
 ), quotas as (
-  select number, count(*) as quota from seats
-  where seat <= (select round(sum(target) / 64)::bigint from targets) group by number
+  select number, max(last_block) as quota from houses group by number
 ), plan as (
   select *, quota_ // nullif(blocks, 0) as passes, quota_ % nullif(blocks, 0) as rest,
     floor(({_DRAW.format('source')}) * blocks)::bigint as first_
   from (select t.*, ceil(source_size / 64)::bigint as blocks,
       least(coalesce(quota, 0), 2 * ceil(source_size / 64)::bigint) as quota_ from targets t left join quotas using (number))
 ), placed as (
-  select *, (sum(size) over (partition by source order by draw, doc_id, size) - size)::bigint as start_ from sized
+  select *, (sum(size) over (partition by source order by draw, doc_id, size) - size)::bigint as start_,
+    row_number() over () as row_ from sized
+), shares as (
+  select number, shard, last_block, lag(last_block, 1, 0) over (partition by number order by shard) as first_block from houses
+), runs as (
+  select row_, number, start_, unnest([
+      {{'pass': 0, 'a': 0, 'b': case when passes > 0 then size else 0 end, 'block': 0}},
+      {{'pass': 1, 'a': 0, 'b': case when passes > 1 then size else 0 end, 'block': blocks}},
+      {{'pass': 2, 'a': greatest(0, first_ * 64 - start_), 'b': least(size, (first_ + rest) * 64 - start_),
+        'block': passes * blocks - first_}},
+      {{'pass': 3, 'a': 0, 'b': least(size, (first_ + rest - blocks) * 64 - start_), 'block': (passes + 1) * blocks - first_}}
+    ]) as run
+  from placed p join plan on p.source is not distinct from plan.source
+), parts as (
+  select row_, run.pass as pass, shard, greatest(run.a, (first_block - run.block) * 64 - start_) as first_word,
+    least(run.b, (last_block - run.block) * 64 - start_) as last_word
+  from runs join shares using (number) where run.b > run.a
+), listed as (
+  select row_, string_agg(concat(shard, ':', first_word, ':', last_word), ',' order by pass, shard) as shards
+  from parts where last_word > first_word group by row_
 )
-select doc_id, size, source_size, target,
+select doc_id, size, source_size, target, coalesce(shards, '') as shards,
   (case when size = 0 then 0 else passes * size
     + greatest(0, least(start_ + size, least((first_ + rest) * 64, source_size)) - greatest(start_, first_ * 64))
     + least(size, greatest(0, greatest(0, first_ + rest - blocks) * 64 - start_)) end)::bigint as taken
-from placed p join plan on p.source is not distinct from plan.source
+from placed p join plan on p.source is not distinct from plan.source left join listed using (row_)
 """
 
 _OP11 = """

@@ -92,7 +92,10 @@ def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     sizes = documents.select("doc_id", "source", mixture.count_words(F.col("text")).alias("size"))
-    return mixture.taken_words(sizes, SEED).select("doc_id", "size", "source_size", "target", "taken")
+    # for each part taken its shard and its words, the last not included
+    parts = F.transform("shards", lambda p: F.concat_ws(":", p["shard"], p["first"], p["last"]))
+    taken = mixture.taken_words(sizes, SEED)
+    return taken.select("doc_id", "size", "source_size", "target", "taken", F.array_join(parts, ",").alias("shards"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
