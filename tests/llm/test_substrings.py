@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wayfare.llm import substrings
 from wayfare.llm.fmindex import FMIndex, WaveletTree
-from wayfare.llm.substrings import kept_digests, segments, without_repeats
+from wayfare.llm.substrings import kept_digests, reported, segments, without_repeats
 from wayfare.llm.words import window_codes
 
 
@@ -115,3 +116,50 @@ def test_rows_without_ids_whose_short_hashes_collide(spark):
     got = kept_digests(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"))
     want = Counter((n, gone, hashlib.sha256(kept.encode()).hexdigest()) for n, gone, kept in brute(texts, 35))
     assert Counter((r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got.collect()) == want
+
+
+def test_index_counts_copies_by_weight():
+    draw = np.random.default_rng(3)
+    texts = [draw.integers(0, 5, n).astype(np.uint64) for n in (9, 30, 12, 8, 8)]
+    weights = [1, 1, 3, 1, 2]
+    index = FMIndex(texts, 30, np.array(weights))
+    counted = Counter()
+    for text, weight in zip(texts, weights):
+        for i in range(len(text) - 7):
+            counted[tuple(text[i : i + 8])] += weight
+    covered = {k: set() for k in range(len(texts))}
+    for k, first, last in zip(*reported(index, np.array([len(t) for t in texts]), 8)):
+        covered[int(k)].update(range(first, last))
+    for k, text in enumerate(texts):
+        want = set()
+        for i in range(len(text) - 7):
+            if counted[tuple(text[i : i + 8])] > 1:
+                want.update(range(i, i + 8))
+        assert covered[k] == want
+    assert covered[2] == set(range(12)) and len(covered[1]) < 30
+
+
+def test_results_come_from_the_index(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(50))
+    frame = spark.createDataFrame([(1, text), (2, text), (3, "own " + text)], "doc_id long, text string")
+    for settings in ({}, {"hot_segments": 1}):
+        assert sorted(r["n_removed"] for r in without_repeats(frame, **settings).collect()) == [50, 50, 50]
+    nothing = np.empty(0, np.int64)
+    monkeypatch.setattr(substrings, "reported", lambda *_: (nothing, nothing, nothing))
+    monkeypatch.setattr(substrings, "_searched", _with(substrings._searched, substrings.reported))
+    for settings in ({}, {"hot_segments": 1}):
+        assert [r["n_removed"] for r in without_repeats(frame, **settings).collect()] == [0, 0, 0]
+
+
+def _with(function, reported_):
+    """The function with another ``reported``, carried by value to the workers."""
+    return type(function)(function.__code__, {**function.__globals__, "reported": reported_, "__name__": "__main__"})
+
+
+def test_very_long_text(spark):
+    draw = random.Random(4)
+    words = [f"w{draw.randrange(3000)}" for _ in range(150_000)]
+    texts = [" ".join(words), " ".join(words[70_000:70_200]), "x " * 120_000, " ".join(["y"] + words[-40:])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in kept_digests(frame).collect()}
+    assert got == {0: (150_000, 240), 1: (200, 200), 2: (120_000, 120_000), 3: (41, 40)}

@@ -53,9 +53,13 @@ class WaveletTree:
 
 
 class FMIndex:
-    """Index over texts of 64-bit codes for searches of up to ``longest`` codes."""
+    """Index over texts of 64-bit codes for searches of up to ``longest`` codes.
 
-    def __init__(self, texts: Sequence[np.ndarray], longest: int):
+    ``weights`` says how often each text occurs (once if left out). Weights are added up along the sorted suffixes, so an
+    interval of suffixes tells how many occurrences it stands for, though each text is indexed once.
+    """
+
+    def __init__(self, texts: Sequence[np.ndarray], longest: int, weights: np.ndarray | None = None):
         sizes = np.array([len(text) for text in texts], np.int64)
         codes = np.concatenate([np.concatenate([text, [0]]) for text in texts]).astype(np.uint64)
         closing = np.cumsum(sizes + 1) - 1
@@ -70,6 +74,8 @@ class FMIndex:
         counts = np.bincount(self.text, minlength=symbols)
         self._first = np.concatenate([[0], np.cumsum(counts)])
         self._tree = WaveletTree(self.text[order - 1], symbols)
+        each = np.ones(len(sizes), np.int64) if weights is None else np.asarray(weights, np.int64)
+        self._weight = np.concatenate([[0], np.cumsum(np.repeat(each, sizes + 1)[order])])
 
     @staticmethod
     def _sorted(text: np.ndarray, longest: int) -> np.ndarray:
@@ -84,18 +90,20 @@ class FMIndex:
                 break
         return np.argsort(rank, kind="stable")
 
-    def repeated_before(self, ends: np.ndarray, longest: int) -> np.ndarray:
+    def repeated_before(self, ends: np.ndarray, longest: int | np.ndarray) -> np.ndarray:
         """For each place of the indexed text, how many symbols up to and with it occur at least twice in a row of
-        that length somewhere in the index: its matching statistic against two occurrences, ended at ``longest``."""
+        that length somewhere in the index: its matching statistic against two occurrences, ended at ``longest``, which
+        may differ from place to place."""
+        longest = np.broadcast_to(longest, len(ends))
         lengths = np.zeros(len(ends), np.int64)
         active, place = np.arange(len(ends)), np.asarray(ends, np.int64)
         symbol = self.text[place]
         low, high = self._first[symbol], self._first[symbol + 1]
         while True:
-            going = (high - low >= 2) & (symbol > 0)
+            going = (self._weight[high] - self._weight[low] >= 2) & (symbol > 0)
             active, place, low, high = active[going], place[going], low[going], high[going]
             lengths[active] += 1
-            more = (lengths[active] < longest) & (place > 0)
+            more = (lengths[active] < longest[active]) & (place > 0)
             active, place, low, high = active[more], place[more] - 1, low[more], high[more]
             if not len(active):
                 return lengths

@@ -4,19 +4,23 @@ Where a window could occur again is found by anchors. The anchor of a window is
 ``ANCHOR`` words, so equal windows have equal anchors. Neighbouring windows with one anchor form a segment, which is
 the unit that is counted and moved:
 
-1. Segments are counted by content. A segment that occurs twice is repeated as a whole.
-2. Of anchors with several different segments, one copy of each segment goes to the shard of the anchor. The shard
-   builds an FM-index over its segments; backward search gives, for each place of the segments that occur once,
-   how many words up to it occur twice, and intervals of at least a window are reported.
-3. Anchors with very many different segments (the edge of a passage that very many documents share) would
-   make a shard too large. Their segments are cut to single windows, which are segments that need no neighbours: they
-   are counted by content as in 1.
-
-Every window is judged on the input. Shards hold each distinct segment once, so copies cost nothing there; counts
-combine before they are shuffled, and joins on hot segments are split by adaptive execution.
-
-Defined results: a null text has no words; texts shorter than a window lose nothing; repeated rows are repeated
-text and lose all their windows; rows without an id take part like others.
+1. Segments of anchors that occur once are left out. The others are counted by content, and one copy of each content
+   goes, with its count, to the shard of its anchor.
+2. The shard builds an FM-index over its contents, weighted by their counts. Backward search first asks for whole
+   contents; where one is not repeated as a whole, it asks, for each place, how many words up to it occur twice, and
+   intervals of at least a window are reported.
+3. An anchor with very many different segments (the edge of a passage that very many documents share) would make a
+   shard too large. Its segments are cut to single windows, which need no neighbours, so they can be dealt to all
+   shards; they are counted, indexed and searched as in 1 and 2.
+4. The intervals of a content hold for each of its occurrences.
+
+Every window is judged on the input. Shards hold each distinct content once, so copies cost nothing there; counts
+combine before they are shuffled. The joins by anchor and content have one row for each on one side, and that side is
+a stored table, so adaptive execution can cut a hot anchor or content on the other side.
+
+Defined results: a null text has no words; texts shorter than a window lose nothing, however long or short; repeated rows
+are repeated text and lose all their windows; rows without an id take part like others; an empty table has no result;
+other columns, of any name, are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.llm.fmindex import FMIndex
@@ -41,11 +45,9 @@ ANCHOR = 8
 #: words in the index of a shard, about
 SHARD_WORDS = 1_000_000
 
-#: anchors with more different segments are handled window by window
+#: the segments of anchors with more different ones are cut to windows, to be dealt to all shards
 HOT_SEGMENTS = 5_000
 
-_RUNS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-
 
 def segments(codes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchor, content code, first window and number of windows of each segment of a text."""
@@ -96,81 +98,89 @@ def _occurrences(keyed: DataFrame, window: int) -> DataFrame:
     return keyed.select("id", "mark", "text").mapInArrow(cut, schema)
 
 
-def _moved(keyed: DataFrame, wanted: DataFrame, window: int, shards: int) -> DataFrame:
-    """The words of the wanted segments (``shard`` set), or of hot anchors the codes of their windows (``whole`` set)."""
-    lists = wanted.groupBy("id", "mark").agg(F.collect_list(F.struct("anchor", "first", "windows", "n", "hot")).alias("runs"))
+def _moved(keyed: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """The words of the wanted contents; those of hot anchors as rows of one window, ``at`` windows from their start.
+
+    ``whole`` is the code of such a window, and null for contents that stay in one piece.
+    """
+    lists = wanted.groupBy("id", "mark").agg(
+        F.collect_list(F.struct("anchor", "content", "first", "windows", "n", "hot")).alias("runs")
+    )
     same = keyed["id"].eqNullSafe(lists["id"]) & (keyed["mark"] == lists["mark"])
     texts = keyed.withColumn("text", packed(F.col("text"))).join(lists, same).select(keyed["id"], keyed["mark"], "text", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, unpack = WordCodes(), unpacker()
+        codes, unpack, last = WordCodes(), unpacker(), None
         for batch in batches:
             rows: list[tuple] = []
-            for at, (text, runs) in enumerate(zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist())):
-                words = codes.of(unpack(text).split())
-                whole = None
+            for id_, mark, text, runs in zip(*(batch.column(name).to_pylist() for name in ("id", "mark", "text", "runs"))):
+                if (id_, mark) == last:
+                    continue  # a repeated row: its contents are counted already
+                last = id_, mark
+                words, whole = codes.of(unpack(text).split()).astype("<u8"), None
                 for run in runs:
                     first, count = run["first"], run["windows"]
+                    key = run["anchor"], run["content"], run["n"]
                     if run["hot"]:
                         whole = window_codes(words, window).view(np.int64) if whole is None else whole
-                        rows += [(at, None, int(whole[i]), i, run["n"], None) for i in range(first, first + count)]
+                        rows += [
+                            (*key, at, int(whole[first + at]), words[first + at : first + at + window].tobytes())
+                            for at in range(count)
+                        ]
                     else:
-                        part = words[first : first + count + window - 1].astype("<u8").tobytes()
-                        rows.append((at, run["anchor"] % shards, None, first, run["n"], part))
+                        rows.append((*key, 0, None, words[first : first + count + window - 1].tobytes()))
             columns = list(zip(*rows)) if rows else [()] * 6
-            row = pa.array(columns[0], pa.int64())
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").take(row),
-                    batch.column("mark").take(row),
-                    pa.array(columns[1], pa.int64()),
-                    pa.array(columns[2], pa.int64()),
-                    pa.array(columns[3], pa.int32()),
-                    pa.array(columns[4], pa.int64()),
-                    pa.array(columns[5], pa.binary()),
-                ],
-                ["id", "mark", "shard", "whole", "first", "n", "words"],
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "content", "n", "at", "whole", "words"]
             )
 
-    kind = keyed.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(
-        cut, f"id {kind}, mark long, shard long, whole long, first int, n long, words binary"
+    return texts.mapInArrow(cut, "anchor long, content long, n long, at int, whole long, words binary")
+
+
+def reported(index: FMIndex, lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, from, to): the intervals of at least a window of each indexed text that occur twice by their weights."""
+    start = index.closing - lengths
+    # whole texts first: that settles copies by one search each
+    whole = index.repeated_before(index.closing - 1, lengths) == lengths
+    asked = np.flatnonzero(~whole)
+    # of the others, each place that ends a window
+    counts = lengths[asked] - window + 1
+    which = np.repeat(asked, counts)
+    offset = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+    long = index.repeated_before(start[which] + offset + window - 1, window) >= window
+    which, offset = which[long], offset[long]
+    opens = np.ones(len(which), bool)
+    opens[1:] = (which[1:] != which[:-1]) | (offset[1:] != offset[:-1] + 1)
+    begin = np.flatnonzero(opens)
+    end = np.flatnonzero(np.append(opens[1:], True)[: len(which)])
+    whole = np.flatnonzero(whole)
+    return (
+        np.concatenate([whole, which[begin]]),
+        np.concatenate([np.zeros(len(whole), np.int64), offset[begin]]),
+        np.concatenate([lengths[whole], offset[end] + window]),
     )
 
 
-def _searched(moved: DataFrame, window: int) -> DataFrame:
-    """(id, mark, from, to): intervals the indexes report."""
+def _searched(dealt: DataFrame, window: int) -> DataFrame:
+    """(anchor, content, from, to): intervals the indexes of the shards report; ``dealt`` has ``shard, n, words`` too."""
 
     def search(shard: pa.Table) -> pa.Table:
         texts = [np.frombuffer(words, "<u8") for words in shard.column("words").to_pylist()]
-        once = np.array(shard.column("n").to_pylist()) == 1
-        first = shard.column("first").to_numpy()
-        index = FMIndex(texts, window)
-        start = index.closing - np.array([len(text) for text in texts])
-        asked = np.flatnonzero(once)
-        # each place of a segment that ends a window
-        counts = np.array([len(texts[i]) for i in asked], np.int64) - window + 1
-        which = np.repeat(asked, counts)
-        offset = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
-        long = index.repeated_before(start[which] + offset + window - 1, window) >= window
-        which, offset = which[long], offset[long]
-        opens = np.ones(len(which), bool)
-        opens[1:] = (which[1:] != which[:-1]) | (offset[1:] != offset[:-1] + 1)
-        begin = np.flatnonzero(opens)
-        end = np.flatnonzero(np.append(opens[1:], True)[: len(which)])
-        rows = pa.array(which[begin])
+        lengths = np.array([len(text) for text in texts], np.int64)
+        index = FMIndex(texts, int(lengths.max()), shard.column("n").to_numpy())
+        text, first, last = reported(index, lengths, window)
+        rows = pa.array(text)
         return pa.table(
             {
-                "id": shard.column("id").take(rows),
-                "mark": shard.column("mark").take(rows),
-                "from": pa.array((first[which[begin]] + offset[begin]).astype(np.int32)),
-                "to": pa.array((first[which[end]] + offset[end] + window).astype(np.int32)),
+                "anchor": shard.column("anchor").take(rows),
+                "content": shard.column("content").take(rows),
+                "from": pa.array(first.astype(np.int32)),
+                "to": pa.array(last.astype(np.int32)),
             }
         )
 
-    kind = moved.schema["id"].dataType.simpleString()
-    segments_ = moved.filter("shard is not null")
-    return segments_.groupBy("shard").applyInArrow(search, f"id {kind}, mark long, from int, to int")
+    return dealt.groupBy("shard").applyInArrow(search, "anchor long, content long, from int, to int")
 
 
 def repeated_passages(
@@ -187,35 +197,57 @@ def repeated_passages(
     """
     keyed = _keyed(df, id_col, text_col)
     every = Stored(_occurrences(keyed, window), "segments")
-    again = every.rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    occurrences = Stored(every.rows.join(again, "anchor", "left_semi"), "segments")
+    again = Stored(every.rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "segments")
+    occurrences = Stored(every.rows.join(again.rows, "anchor", "left_semi"), "segments")
     every.drop()
+    again.drop()
 
     contents = occurrences.rows.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), F.min(F.struct("id", "mark", "first", "windows")).alias("one")
     )
     sizes = Stored(contents, "segments")
-    kinds = sizes.rows.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    wanted = Stored(
-        sizes.rows.join(kinds, "anchor").select("anchor", "n", (F.col("kinds") > hot_segments).alias("hot"), "one.*"),
-        "segments",
+    many = sizes.rows.groupBy("anchor").agg(F.count("*").alias("kinds")).filter(F.col("kinds") > hot_segments)
+    hot = Stored(many.select("anchor", F.lit(True).alias("hot")), "segments")
+    wanted = sizes.rows.join(hot.rows, "anchor", "left").select(
+        "anchor", "content", "n", F.coalesce("hot", F.lit(False)).alias("hot"), "one.*"
     )
-    words = wanted.rows.filter("not hot").agg(F.sum(F.col("windows") + window - 1)).first()[0] or 0
+    moved = Stored(_moved(keyed, wanted, window), "segments")
+    sizes.drop()
+    hot.drop()
+
+    words = moved.rows.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(4 * partitions, -(-words // shard_words))
-    moved = Stored(_moved(keyed, wanted.rows, window, shards), "segments")
-    wanted.drop()
-
-    last = F.col("first") + F.col("windows") + window - 1
-    often = sizes.rows.filter("n > 1").select("anchor", "content")
-    copies = occurrences.rows.join(often, ["anchor", "content"]).select("id", "mark", F.col("first").alias("from"), last.alias("to"))
-    single = moved.rows.filter("whole is not null").select("id", "mark", "whole", "first", "n")
-    twice = single.groupBy("whole").agg(F.sum("n").alias("all")).filter("all > 1").select("whole")
-    singles = single.join(twice, "whole").select("id", "mark", F.col("first").alias("from"), (F.col("first") + window).alias("to"))
-    found = Stored(_searched(moved.rows, window).unionByName(copies).unionByName(singles), "passages")
-    for table in (occurrences, sizes, moved):
+    shards = max(4 * partitions, -(-words // (8 * shard_words)))
+    pieces = moved.rows.filter("whole is null").select("anchor", "content", "n", "words")
+    windows = moved.rows.filter("whole is not null")
+    counted = windows.groupBy("whole").agg(F.sum("n").alias("n"), F.min("words").alias("words"))
+    counted = counted.select(F.lit(None).cast("long").alias("anchor"), F.col("whole").alias("content"), "n", "words")
+    # a window of a hot anchor goes by its own code, all else by the anchor
+    shard = F.pmod(F.coalesce("anchor", "content"), F.lit(shards)).alias("shard")
+    found = Stored(_searched(pieces.unionByName(counted).select("*", shard), window), "passages")
+
+    own = found.rows.filter("anchor is not null")
+    twice = found.rows.filter("anchor is null").select(F.col("content").alias("whole"))
+    # neighbouring windows of a content make one interval
+    nth = F.row_number().over(Window.partitionBy("anchor", "content").orderBy("at"))
+    runs = (
+        windows.select("anchor", "content", "at", "whole")
+        .distinct()
+        .join(twice, "whole")
+        .withColumn("run", F.col("at") - nth)
+        .groupBy("anchor", "content", "run")
+        .agg(F.min("at").alias("from"), (F.max("at") + window).alias("to"))
+        .drop("run")
+    )
+    intervals = Stored(own.unionByName(runs), "passages")
+    places = occurrences.rows.select("id", "mark", "anchor", "content", "first").join(intervals.rows, ["anchor", "content"])
+    passages = Stored(
+        places.select("id", "mark", (F.col("first") + F.col("from")).alias("from"), (F.col("first") + F.col("to")).alias("to")),
+        "passages",
+    )
+    for table in (occurrences, moved, found, intervals):
         table.drop()
-    return found.rows
+    return passages.rows
 
 
 def without_repeats(
