@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from wayfare.llm import quality
 from wayfare.llm.words import WordCodes
@@ -65,3 +66,52 @@ def test_empty_tables(spark):
     unlabelled = quality.fit(frame, labels.limit(0))
     kept = quality.judged(frame, unlabelled).select("quality_rules.*").collect()
     assert all(r["kept"] != r["base_failed"] for r in kept)
+
+
+def plain_threshold(judged):
+    judged = sorted(judged)
+    scores, good = np.array([s for s, _ in judged]), np.array([g for _, g in judged], bool)
+    if not len(scores) or good.all() or not good.any():
+        return -np.inf
+    lost = np.concatenate([[0], np.cumsum(good)]) / good.sum()
+    caught = np.concatenate([[0], np.cumsum(~good)]) / (~good).sum()
+    cut = int(np.argmax(caught - 10 * lost))
+    if cut == 0:
+        return -np.inf
+    return float((scores[cut - 1] + scores[cut]) / 2) if cut < len(scores) else float(scores[-1])
+
+
+def test_threshold_equals_that_of_sorted_rows(spark):
+    draw = random.Random(3)
+    cases = [[], [(0.5, True)], [(0.5, False)], [(0.1, False), (0.2, True)], [(0.2, False), (0.2, True)]]
+    cases += [[(0.3, True), (0.4, False)], [(-0.1, False), (0.1, False), (-0.5, True), (0.1, True)]]
+    for size, shift in ((300, 0.6), (300, 0.2)):
+        good = [draw.random() < 0.6 for _ in range(size)]
+        cases.append([(round(draw.random() + shift * g, 2), g) for g in good])
+    for case in cases:
+        frame = spark.createDataFrame(case, "score double, good boolean")
+        assert quality.threshold(frame) == plain_threshold(case), case
+
+
+def test_all_labelled_rows_take_part(spark):
+    """More labels of a kind than were once looked at (20,000), and rows with equal ids."""
+    rows, frame, _ = corpus(spark)
+    rows = rows + [rows[0], (None, "null ids are never trusted", None, None)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    labels = frame.select("doc_id", (F.col("doc_id") < 100).cast("int").alias("quality")).union(
+        spark.range(1000, 61_000).selectExpr("id", "int(id % 2)")
+    )
+    known = labels.dropna().distinct().withColumn("draw", F.xxhash64("doc_id"))
+    good = [r["doc_id"] for r in known.filter("quality = 1").orderBy("draw", "doc_id").collect()]
+    trusted, codes = set(good[::2]), WordCodes()
+    counts = np.zeros((2, quality.BUCKETS))
+    for key, text, _, _ in rows:
+        found = np.bincount(quality._buckets(text.encode()), minlength=quality.BUCKETS)
+        counts += [found * (key in trusted), found]
+    smooth = (counts + 1) / (counts + 1).sum(axis=1, keepdims=True)
+    ratio = np.log(smooth[0] / smooth[1])
+    held_out = [(quality.score(r[1].encode(), ratio), r[0] < 100, r[1]) for r in rows if r[0] is not None and r[0] not in trusted]
+    passed = [(s, g) for s, g, t in held_out if not quality.base_failed(*quality.base_counts(t.encode(), codes)[::4])]
+    model = quality.fit(frame, labels)
+    assert (model.ratio == ratio).all()
+    assert model.threshold == plain_threshold(passed) > -np.inf

@@ -4,6 +4,10 @@ The ratio compares two multinomials over hashed byte n-grams: one fitted on trus
 good), one on the whole corpus. The score of a text is the mean logarithm of the ratio over its n-grams, so
 it does not depend on the length, and every text is judged by the same threshold, without a draw.
 
+Every labelled row takes part in the fit: every other good one is trusted, found by a join with the texts, and the
+threshold is sought over running counts of all the others, found by a join with the scores. What reaches the driver is
+a row per bucket and one cut, whatever the size of the tables.
+
 Defined results: a null or empty text has no words and score 0; a row whose id is null is scored like any
 other but is never a trusted one; without labelled rows of both kinds every score passes. Repeated rows are
 counted and judged each on its own. Columns beside the id and the text are not looked at.
@@ -18,17 +22,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.llm.words import WordCodes, window_codes
+from wayfare.operators.prefix import position_in_group, running_before
 
 #: bytes of an n-gram, and the number of hash buckets they are counted in
 GRAM = 4
 BUCKETS = 1 << 16
 
-#: Labelled rows that the trusted multinomial and the threshold are fitted on, at most, of each kind; the
-#: counts of the raw corpus take in every row.
-LABELLED = 20_000
-
 SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\r\x0b\x0c"
 _NOT_A_START = _SPACE + bytes(range(0x80, 0xC0))
@@ -90,52 +92,41 @@ def score(text: bytes, ratio: np.ndarray) -> float:
     return float(ratio[buckets].mean()) if len(buckets) else 0.0
 
 
-def gram_counts(df: DataFrame, id_col: str, text_col: str, trusted: frozenset[int]) -> DataFrame:
-    """(bucket, trusted, raw): n-grams of the trusted rows and of all rows.
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(bucket, n): n-grams of the column ``text``, which is binary.
 
     Each task adds up its own table of buckets, so the shuffle holds at most one row per bucket and task.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, BUCKETS), np.int64)
-        pending: tuple[list, list] = ([], [])
+        counts = np.zeros(BUCKETS, np.int64)
+        pending: list[np.ndarray] = []
 
         def add_up() -> None:
-            for row, arrays in enumerate(pending):
-                if arrays:
-                    counts[row] += np.bincount(np.concatenate(arrays), minlength=BUCKETS)
-                    arrays.clear()
+            nonlocal counts
+            if pending:
+                counts += np.bincount(np.concatenate(pending), minlength=BUCKETS)
+                pending.clear()
 
         waiting = 0
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text in batch.column(0).to_pylist():
                 buckets = _buckets(text)
-                pending[key not in trusted].append(buckets)
+                pending.append(buckets)
                 waiting += len(buckets)
                 if waiting > _PENDING:
                     add_up()
                     waiting = 0
         add_up()
-        counts[1] += counts[0]
-        seen = np.flatnonzero(counts[1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen), pa.array(counts[0][seen]), pa.array(counts[1][seen])],
-            ["bucket", "trusted", "raw"],
-        )
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["bucket", "n"])
 
-    partial = _keyed_text(df, id_col, text_col).mapInArrow(count, "bucket long, trusted long, raw long")
-    return partial.groupBy("bucket").agg(F.sum("trusted").alias("trusted"), F.sum("raw").alias("raw"))
+    partial = texts.select("text").mapInArrow(count, "bucket long, n long")
+    return partial.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def fit(
-    df: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    label_col: str = "quality",
-    labelled: int = LABELLED,
-) -> Model:
-    """Fit the ratio on half of the labelled good rows, the threshold on the other labelled rows."""
+def labelled_ids(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
+    """(id, good, trusted) of every labelled id; in an order by hash, every other good one is trusted."""
     known = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("good"))
         .dropna()
@@ -143,60 +134,80 @@ def fit(
         .agg((F.min("good") == 1).alias("good"))
         .withColumn("draw", F.xxhash64("id"))
     )
-    chosen = {
-        good: known.filter(F.col("good") == good).orderBy("draw", "id").limit(labelled).collect()
-        for good in (True, False)
-    }
-    ids = [row["id"] for row in chosen[True]]
-    trusted, held_out = frozenset(ids[::2]), {key: True for key in ids[1::2]}
-    held_out |= {row["id"]: False for row in chosen[False]}
+    placed = position_in_group(known, ["good"], [F.col("draw"), F.col("id")])
+    return placed.select("id", "good", (F.col("good") & (F.col("position") % 2 == 1)).alias("trusted"))
 
+
+def fit(
+    df: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+) -> Model:
+    """Fit the ratio on half of the labelled good rows, the threshold on the other labelled rows."""
+    keyed = _keyed_text(df, id_col, text_col)
+    ids = labelled_ids(labels, id_col, label_col)
+    # labels grow with the rows, so neither side of a join is broadcast
+    trusted = keyed.hint("merge").join(ids.filter("trusted"), "id")
     counts = np.zeros((2, BUCKETS))
-    for row in gram_counts(df, id_col, text_col, trusted).collect():
-        counts[:, row["bucket"]] = row["trusted"], row["raw"]
+    for kind, texts in enumerate((trusted, keyed)):
+        for row in gram_counts(texts).collect():
+            counts[kind, row["bucket"]] = row["n"]
     if not counts[0].sum():
         return Model(np.zeros(BUCKETS), -np.inf)
     # one more n-gram in each bucket, so that none is impossible
     smooth = (counts + 1) / (counts + 1).sum(axis=1, keepdims=True)
     ratio = np.log(smooth[0] / smooth[1])
-    return Model(ratio, _threshold(df, id_col, text_col, ratio, held_out))
+    return Model(ratio, threshold(scores(keyed, ratio).hint("merge").join(ids.filter("not trusted"), "id")))
 
 
-def _threshold(
-    df: DataFrame, id_col: str, text_col: str, ratio: np.ndarray, held_out: dict[int, bool]
-) -> float:
-    """The middle of the gap between rejected and good held-out rows where most are told apart.
+def scores(keyed: DataFrame, ratio: np.ndarray) -> DataFrame:
+    """(id, score) of the rows (id, text) that have an id and are not rejected by the base rules.
 
-    A good row lost counts as much as ten bad rows kept, since clean texts are to stay.
+    All rows are scored, labelled or not, since joining scores moves far less than joining texts.
     """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in batches:
-            rows = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if key in held_out:
-                    counts = base_counts(text, codes)
-                    if not base_failed(counts[0], counts[4]):
-                        rows.append((score(text, ratio), held_out[key]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.float64()), pa.array([r[1] for r in rows], pa.bool_())],
-                ["score", "good"],
-            )
+            rows, values = [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                counts = base_counts(text, codes)
+                if not base_failed(counts[0], counts[4]):
+                    rows.append(row)
+                    values.append(score(text, ratio))
+            ids = batch.column(0).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(values, pa.float64())], ["id", "score"])
+
+    schema = T.StructType([keyed.schema["id"], T.StructField("score", T.DoubleType())])
+    return keyed.filter("id is not null").mapInArrow(judge, schema)
+
 
-    judged = _keyed_text(df, id_col, text_col).mapInArrow(judge, "score double, good boolean").collect()
-    judged = sorted((row["score"], row["good"]) for row in judged)
-    scores = np.array([s for s, _ in judged])
-    good = np.array([g for _, g in judged], bool)
-    if not len(scores) or good.all() or not good.any():
+def threshold(judged: DataFrame) -> float:
+    """The middle of the gap between rejected and good rows (score, good) where most are told apart.
+
+    A good row lost counts as much as ten bad rows kept, since clean texts are to stay. Of the cuts, only those right
+    above the bad rows of a score can be the best.
+    """
+    tally = judged.groupBy("score").agg(
+        F.count_if(~F.col("good")).alias("bad"), F.count_if(F.col("good")).alias("good")
+    )
+    running = {"bad_before": ("sum", F.col("bad")), "good_before": ("sum", F.col("good"))}
+    tally = running_before(tally, [], [F.col("score")], running)
+    bad, good = tally.agg(F.sum("bad"), F.sum("good")).first()
+    if not bad or not good:
         return -np.inf
-    # cut k rejects the k lowest
-    lost = np.concatenate([[0], np.cumsum(good)]) / good.sum()
-    caught = np.concatenate([[0], np.cumsum(~good)]) / (~good).sum()
-    cut = int(np.argmax(caught - 10 * lost))
-    if cut == 0:
+    before = F.coalesce("good_before", F.lit(0))
+    caught = (F.coalesce("bad_before", F.lit(0)) + F.col("bad")) / F.lit(float(bad))
+    cuts = tally.filter("bad > 0").withColumn("worth", caught - F.lit(10.0) * (before / F.lit(float(good))))
+    best = cuts.orderBy(F.desc("worth"), "score").first()
+    if best["worth"] <= 0:
         return -np.inf
-    return float((scores[cut - 1] + scores[cut]) / 2) if cut < len(scores) else float(scores[-1])
+    if best["good"]:
+        return best["score"]
+    above = tally.filter(F.col("score") > best["score"]).agg(F.min("score")).first()[0]
+    return best["score"] if above is None else (best["score"] + above) / 2
 
 
 def quality_udf(model: Model):
