@@ -87,3 +87,19 @@ def test_columns(spark):
         assert row["r"]["ids_sha256"] == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
         assert row["r"]["covered_bytes"] == len((row["starts"] or "").encode())
     assert frame.limit(0).select(round_trip_udf(MODEL)(text)).collect() == []
+
+
+def test_a_short_merge_looks_up_each_pair_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+
+    encoder = PieceEncoder(MODEL)
+    chunk = "▁thenottherewithandoftheinternationalisation"
+    plain = encoder._merge_long(chunk)
+    encoder._score = Counted(encoder._score)
+    assert encoder._merge_short(chunk) == plain
+    assert encoder._score.asked < 3 * len(chunk)

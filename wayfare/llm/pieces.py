@@ -17,6 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
+import math
+import operator
 import re
 import struct
 from collections.abc import Iterator
@@ -33,6 +36,7 @@ REMEMBERED = 200_000
 
 #: a merge in a chunk up to this many characters looks at all neighbours; longer ones keep a heap
 _SHORT = 48
+_NO_PIECE = -math.inf
 
 # Field numbers and piece types of the model file.
 _PIECE, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -197,6 +201,7 @@ class PieceEncoder:
         if kind != _BPE:
             raise ValueError("only models of the merging kind are supported")
         self.normalize = Normalizer(normalizer)
+        self._size = {name: len(name.encode()) for name in self._id}
         self._chunks = self._chunk_pattern()
         self._seen: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
 
@@ -229,10 +234,14 @@ class PieceEncoder:
         return ids, edges[:-1], edges[1:]
 
     def _pieces(self, chunk: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        merge = self._merge_short if len(chunk) <= _SHORT else self._merge_long
+        parts = self._merge_short(chunk) if len(chunk) <= _SHORT else self._merge_long(chunk)
+        try:
+            return tuple(map(self._id.__getitem__, parts)), tuple(map(self._size.__getitem__, parts))
+        except KeyError:
+            pass  # a character outside the vocabulary
         ids: list[int] = []
         sizes: list[int] = []
-        for part in merge(chunk):
+        for part in parts:
             data = part.encode()
             if part in self._id:
                 ids.append(self._id[part])
@@ -246,16 +255,22 @@ class PieceEncoder:
         return tuple(ids), tuple(sizes)
 
     def _merge_short(self, chunk: str) -> list[str]:
-        parts, score = list(chunk), self._score
-        while len(parts) > 1:
-            best, place = None, -1
-            for at in range(len(parts) - 1):
-                value = score.get(parts[at] + parts[at + 1])
-                if value is not None and (best is None or value > best):
-                    best, place = value, at
-            if best is None:
+        """The scores of all neighbours are kept in a list; a merge changes one or two of them."""
+        parts, score = list(chunk), self._score.get
+        # at each place the score of the pair that begins there
+        pairs = list(map(score, map(operator.add, chunk, chunk[1:]), itertools.repeat(_NO_PIECE)))
+        while pairs:
+            best = max(pairs)
+            if best == _NO_PIECE:
                 break
-            parts[place : place + 2] = [parts[place] + parts[place + 1]]
+            place = pairs.index(best)
+            joined = parts[place] + parts[place + 1]
+            parts[place] = joined
+            del parts[place + 1], pairs[place]
+            if place:
+                pairs[place - 1] = score(parts[place - 1] + joined, _NO_PIECE)
+            if place < len(pairs):
+                pairs[place] = score(joined + parts[place + 1], _NO_PIECE)
         return parts
 
     def _merge_long(self, chunk: str) -> list[str]:
