@@ -6,6 +6,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
+from wayfare.llm import pieces
 from wayfare.llm.pieces import Normalizer, PieceEncoder, _fields, decode_udf, encode_udf, round_trip_udf
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -103,3 +104,91 @@ def test_a_short_merge_looks_up_each_pair_once():
     encoder._score = Counted(encoder._score)
     assert encoder._merge_short(chunk) == plain
     assert encoder._score.asked < 3 * len(chunk)
+
+
+def random_texts(seed, n=400):
+    draw = random.Random(seed)
+    alphabet = "ab thensr▁ \n.,éß日🙂́_-0123*=\x00"
+    return ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 150))) for _ in range(n)] + TEXTS
+
+
+def same_as_the_library(encoder, texts):
+    ids, starts, ends, edges = encoder.encode_many([text.encode() for text in texts])
+    assert len(edges) == len(texts) + 1 and len(ids) == len(starts) == len(ends) == edges[-1]
+    for text, a, b in zip(texts, edges, edges[1:]):
+        assert ids[a:b].tolist() == LIBRARY.encode(text), repr(text)
+        data = text.encode()
+        assert b"".join(data[x:y] for x, y in zip(starts[a:b], ends[a:b])) == data
+
+
+def test_a_chunk_is_not_merged_again_in_every_text_once_the_memory_is_full(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    encoder, merged = PieceEncoder(MODEL), []
+    plain = encoder._pieces
+    monkeypatch.setattr(encoder, "_pieces", lambda chunk: merged.append(chunk) or plain(chunk))
+    for i in range(60):
+        encoder.encode(f"word{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}".encode())
+    for _ in range(100):
+        assert encoder.encode(b"later")[0] == LIBRARY.encode("later")
+    assert merged.count("▁later") <= 2
+
+
+def test_many_chunks_are_merged_side_by_side(monkeypatch):
+    encoder = PieceEncoder(MODEL)
+    texts = ["".join(chr(97 + (i * k) % 26) for k in range(1, 4 + i % 30)) for i in range(2000)]
+    monkeypatch.setattr(PieceEncoder, "_merge_short", None)
+    same_as_the_library(encoder, texts)
+
+
+@pytest.mark.parametrize("name, value", [("REMEMBERED", 40), ("_SHORT", 5), ("_MANY", 1), ("_MANY", 10**9), ("AT_ONCE", 64)])
+def test_bounds_change_no_piece(monkeypatch, name, value):
+    monkeypatch.setattr(pieces, name, value)
+    encoder = PieceEncoder(MODEL)
+    for seed in range(4):
+        same_as_the_library(encoder, random_texts(seed, 100))
+
+
+def test_chunks_with_the_same_key_are_told_apart():
+    class Draws:
+        bases = [1, 1, 0x9E3779B97F4A7C15]
+
+        def getrandbits(self, bits):
+            return self.bases.pop(0)
+
+    encoder = PieceEncoder(MODEL)
+    encoder._draw = Draws()
+    encoder._forget()
+    # with base 1 the order of characters makes no difference
+    same_as_the_library(encoder, ["then", "nthe", "hent", *random_texts(7)])
+    assert not Draws.bases
+
+
+@pytest.mark.parametrize("across", [True, False])
+@pytest.mark.parametrize("fallback", [True, False])
+def test_other_models(tmp_path, across, fallback):
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcde") for _ in range(draw.randint(1, 5))) for _ in range(60)]
+    lines = [" ".join(draw.choice(words) for _ in range(8)) for _ in range(300)]
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines), model_prefix=str(tmp_path / "m"), model_type="bpe", minloglevel=2,
+        vocab_size=360 if fallback else 100, byte_fallback=fallback, split_by_whitespace=not across,
+        normalization_rule_name="identity", remove_extra_whitespaces=False,
+    )
+    model = (tmp_path / "m.model").read_bytes()
+    encoder, library = PieceEncoder(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    texts = [*lines, "", " ", "a  b", " abc  cab ", "abcde " * 40, "edcba" * 30]
+    texts += ["abxcd é", "ab\ncd"] if fallback else []  # the library has no unknown piece for each of some
+    ids, _, _, edges = encoder.encode_many([text.encode() for text in texts])
+    for text, a, b in zip(texts, edges, edges[1:]):
+        assert ids[a:b].tolist() == library.encode(text), repr(text)
+
+
+def test_batches_of_nulls_long_and_short_texts(spark):
+    texts = [None, "", "a b", "word " * 200_000, None, *random_texts(9, 50)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    for row in frame.select("text", pieces.tokens_udf(MODEL)(F.col("text").cast("binary")).alias("t")).collect():
+        want = LIBRARY.encode(row["text"] or "")
+        assert row["t"]["ids"] == want
+        assert row["t"]["ids_sha256"] == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
+        back = LIBRARY.decode(want) if want else ""
+        assert row["t"]["decoded_sha256"] == hashlib.sha256(back.encode()).hexdigest()

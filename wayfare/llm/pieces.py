@@ -5,8 +5,10 @@ character map knows, and records for every byte it writes where in the source it
 joins the best-scored neighbours, as the model's merge list says; the bytes of each piece are projected
 through the recorded alignment to a span of the original text.
 
-Pieces cannot reach over a place where no piece of the vocabulary does, so a text is merged in chunks, and
-chunks seen before are remembered up to a bound. Memory depends on the longest text, not on the table.
+Pieces cannot reach over a place where no piece of the vocabulary does, so a text is merged in chunks. Texts are
+taken by the megabyte: their chunks are looked up in a hash table over arrays, and compared with what it holds; those
+not remembered are merged side by side, a merge in each of them per round. Of the chunks seen before, those used most
+are remembered up to a bound. Memory depends on the longest text, not on the table.
 
 Defined results: a null text is taken as empty and has no pieces; a character outside the vocabulary
 becomes its bytes if the model has byte pieces, else the unknown piece. Rows are independent, so repeated
@@ -20,22 +22,29 @@ import heapq
 import itertools
 import math
 import operator
-import re
+import random
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import functions as F
 
 SPACE = "▁"
 
-#: distinct chunks a task remembers
+#: distinct chunks a task remembers; when there are more, the half that was used most stays
 REMEMBERED = 200_000
 
+#: bytes of text encoded at once, or one text
+AT_ONCE = 1 << 19
+
 #: a merge in a chunk up to this many characters looks at all neighbours; longer ones keep a heap
 _SHORT = 48
+#: so many chunks are merged side by side; fewer one by one
+_MANY = 64
 _NO_PIECE = -math.inf
 
 # Field numbers and piece types of the model file.
@@ -170,6 +179,64 @@ class Normalizer:
         return text[at : at + size], size
 
 
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``first[k], first[k] + 1, ...``, ``count[k]`` numbers for each ``k``."""
+    ends = np.cumsum(count)
+    return np.repeat(first - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of an odd number, and what undoes them, in 64 bits."""
+    return tuple(np.cumprod(np.full(n, x, np.uint64)) for x in (base, pow(base, -1, 1 << 64)))
+
+
+def _string(points: np.ndarray) -> str:
+    return points.tobytes().decode("utf-32-le")
+
+
+class _Table:
+    """Numbers by keys of 63 bits: a hash table over arrays, asked for many keys at once."""
+
+    def __init__(self, room: int):
+        bits = max(4, (3 * room).bit_length())
+        self._shift, self._mask, self._stored = np.uint64(64 - bits), (1 << bits) - 1, 0
+        self._keys, self._values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self._shift).view(np.int64)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Different keys, none of which is there."""
+        if 2 * (self._stored + len(keys)) > self._mask:
+            old = self._keys >= 0
+            keys, values = np.concatenate([self._keys[old], keys]), np.concatenate([self._values[old], values])
+            self.__init__(len(keys))
+        self._stored += len(keys)
+        slots = self._slots(keys)
+        while len(keys):
+            free = self._keys[slots] < 0
+            self._keys[slots[free]] = keys[free]  # of several for one slot one is stored
+            stored = self._keys[slots] == keys
+            self._values[slots[stored]] = values[stored]
+            keys, values, slots = keys[~stored], values[~stored], slots[~stored] + 1 & self._mask
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The values; -1 for other keys."""
+        slots = self._slots(keys)
+        found = self._keys[slots]
+        values = np.where(found == keys, self._values[slots], np.int32(-1))
+        other = np.flatnonzero((found != keys) & (found >= 0))
+        slots = slots[other]
+        while len(other):
+            slots = slots + 1 & self._mask
+            found = self._keys[slots]
+            hit = found == keys[other]
+            values[other[hit]] = self._values[slots[hit]]
+            on = ~hit & (found >= 0)
+            other, slots = other[on], slots[on]
+        return values
+
+
 class PieceEncoder:
     """Encoder of one model; texts are UTF-8 bytes."""
 
@@ -202,36 +269,221 @@ class PieceEncoder:
             raise ValueError("only models of the merging kind are supported")
         self.normalize = Normalizer(normalizer)
         self._size = {name: len(name.encode()) for name in self._id}
-        self._chunks = self._chunk_pattern()
-        self._seen: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
-
-    def _chunk_pattern(self) -> re.Pattern:
-        """Cuts where no piece reaches over: around characters that stand alone in the vocabulary and, if no
-        piece has a space after another character, before spaces."""
+        self._kind = self._kinds()
+        self._pairs = self._joined()
+        self._piece_size, self._rank = np.zeros(number, np.int32), np.zeros(number + 1, np.int64)
+        own = np.fromiter(self._id.values(), np.int64, len(self._id))
+        self._piece_size[own] = np.fromiter(map(self._size.__getitem__, self._id), np.int64, len(own))
+        # the best score has rank 0; the last place is for no piece at all, which is -1
+        scores = np.fromiter(map(self._score.__getitem__, self._id), np.float64, len(own))
+        self._rank[own] = np.unique(-scores, return_inverse=True)[1]
+        self._rank[-1] = number
+        single = {ord(name): own for name, own in self._id.items() if len(name) == 1}
+        self._character = np.full(max(single, default=0) + 2, -1, np.int32)
+        self._character[list(single)] = list(single.values())
+        self._draw = random.Random(0)
+        self._long: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self._long_characters = 0
+        self._forget()
+
+    def _kinds(self) -> np.ndarray:
+        """By code point: 0 for characters that stand alone in the vocabulary, 2 for spaces if no piece has one after
+        another character, else 1. No piece reaches over either side of the first or to the front of a space."""
         long = [piece for piece in self._id if len(piece) > 1]
-        joined = {c for piece in long for c in piece} - {SPACE}
-        inner = "".join(re.escape(c) for c in sorted(joined))
-        if any(SPACE in piece.lstrip(SPACE) for piece in long):
-            return re.compile(f"[{SPACE}{inner}]+|.", re.DOTALL)
-        return re.compile(f"{SPACE}*[{inner}]+|{SPACE}+|.", re.DOTALL)
+        joined = [ord(c) for c in {c for piece in long for c in piece} | {SPACE}]
+        kinds = np.zeros(max(joined) + 2, np.uint8)
+        kinds[joined] = 1
+        kinds[ord(SPACE)] = 1 if any(SPACE in piece.lstrip(SPACE) for piece in long) else 2
+        return kinds
+
+    def _joined(self) -> _Table:
+        """The piece that two neighbouring pieces become."""
+        pairs = [
+            (self._id[piece[:cut]] << 32 | self._id[piece[cut:]], number)
+            for piece, number in self._id.items()
+            for cut in range(1, len(piece))
+            if piece[:cut] in self._id and piece[cut:] in self._id
+        ]
+        table = _Table(len(pairs))
+        table.add(*np.array(pairs, np.int64).reshape(-1, 2).T)
+        return table
+
+    def _forget(self) -> None:
+        """Forget all chunks, and make keys in another way from now on."""
+        self._base = self._draw.getrandbits(64) | 1
+        self._powers = _powers(self._base, AT_ONCE + AT_ONCE // 4)
+        self._table = _Table(REMEMBERED)
+        # of each remembered chunk its key, its place in the characters, its length, its place in the ids, how many
+        # they are, and how often it came
+        self._key = self._begin = self._width = self._first = self._count = self._used = np.zeros(0, np.int64)
+        self._points, self._ids, self._sizes = np.zeros(0, np.uint32), *np.zeros((2, 0), np.int32)
 
     def encode(self, text: bytes) -> tuple[list[int], np.ndarray, np.ndarray]:
         """Piece ids, and start and end of each piece in the bytes of the text."""
-        normal, aligned = self.normalize(text)
-        ids: list[int] = []
-        sizes: list[int] = []
-        seen = self._seen
-        for chunk in self._chunks.findall(normal.decode()):
-            known = seen.get(chunk)
-            if known is None:
-                known = self._pieces(chunk)
-                if len(seen) < REMEMBERED:
-                    seen[chunk] = known
-            ids += known[0]
-            sizes += known[1]
-        ends = np.cumsum(np.array(sizes, np.int64))
-        edges = aligned[np.concatenate([[0], ends])]
-        return ids, edges[:-1], edges[1:]
+        ids, starts, ends, _ = self.encode_many([text])
+        return ids.tolist(), starts, ends
+
+    def encode_many(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, starts and ends of the pieces of all texts in a row, and the edges of the texts among them."""
+        aligned, normals = [], []
+        for text in texts:
+            normal, offsets = self.normalize(text)
+            normals.append(normal.decode())
+            aligned.append(offsets)
+        points = np.frombuffer("".join(normals).encode("utf-32-le"), np.uint32)
+        begin, last_chunk = self._cut(points, np.cumsum([0, *map(len, normals)]))
+        width = np.diff(begin, append=len(points))
+        short = width <= _SHORT
+        if short.all():
+            numbers = self._find(points, width)
+            first, count, all_ids, all_sizes = self._first, self._count, self._ids, self._sizes
+        else:
+            numbers = np.empty(len(width), np.int64)
+            numbers[short] = self._find(points[np.repeat(short, width)], width[short])
+            # those of long chunks behind all others
+            numbers[~short] = len(self._first) + np.arange(len(width) - short.sum())
+            long = [self._long_pieces(points[a : a + n]) for a, n in zip(begin[~short], width[~short])]
+            more = np.array([len(ids) for ids, _ in long])
+            first = np.concatenate([self._first, len(self._ids) + np.cumsum(more) - more])
+            count = np.concatenate([self._count, more])
+            all_ids = np.concatenate([self._ids, *(np.array(ids, np.int32) for ids, _ in long)])
+            all_sizes = np.concatenate([self._sizes, *(np.array(sizes, np.int32) for _, sizes in long)])
+        self._used += np.bincount(numbers[short], minlength=len(self._used))
+        count = count[numbers]
+        places = _ranges(first[numbers], count)
+        ids, sizes = all_ids[places], all_sizes[places]
+        edges = np.concatenate([[0], np.cumsum(count)])[last_chunk]
+        # the alignment of each text has one place more than the text has normalised bytes
+        ends = np.cumsum(sizes, dtype=np.int64) + np.repeat(np.arange(len(texts)), np.diff(edges))
+        offsets = np.concatenate(aligned) if aligned else np.zeros(0, np.int64)
+        starts, ends = offsets[ends - sizes], offsets[ends]
+        if len(self._key) > REMEMBERED:
+            self._keep_most_used()
+        return ids, starts, ends, edges
+
+    def _cut(self, points: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the chunks begin, and how many begin before each edge of a text."""
+        kind = self._kind[np.minimum(points, len(self._kind) - 1)]
+        cut = kind == 0
+        cut[1:] |= (kind[:-1] == 0) | ((kind[1:] == 2) & (kind[:-1] != 2))
+        cut[edges[edges < len(points)]] = True
+        begin = np.flatnonzero(cut)
+        return begin, np.searchsorted(begin, edges)
+
+    def _find(self, points: np.ndarray, width: np.ndarray) -> np.ndarray:
+        """Numbers of chunks, which are remembered from now on."""
+        begin = np.cumsum(width) - width
+        while len(width):
+            power, inverse = self._powers if len(points) <= len(self._powers[0]) else _powers(self._base, len(points))
+            sums = np.add.reduceat(points * power[: len(points)], begin)
+            keys = (sums * inverse[begin] & np.uint64((1 << 63) - 1)).view(np.int64)
+            numbers = self._table(keys).astype(np.int64)
+            new = np.flatnonzero(numbers < 0)
+            if len(new):
+                own, at, back = np.unique(keys[new], return_index=True, return_inverse=True)
+                numbers[new] = len(self._key) + back
+                at = new[at]
+                self._learn(own, points[_ranges(begin[at], width[at])], width[at])
+            if (self._width[numbers] == width).all():
+                if (self._points[_ranges(self._begin[numbers], width)] == points).all():
+                    return numbers
+            self._forget()  # two chunks have the same key
+        return np.zeros(0, np.int64)
+
+    def _learn(self, keys: np.ndarray, points: np.ndarray, width: np.ndarray) -> None:
+        """Remember chunks and their pieces."""
+        begin = np.cumsum(width) - width
+        many = self._merge_many if len(width) >= _MANY else self._merge_none
+        merged, first, count, ids, sizes = many(points, width)
+        rest = [self._pieces(_string(points[begin[k] : begin[k] + width[k]])) for k in np.flatnonzero(~merged)]
+        first[~merged] = len(ids) + np.cumsum([0, *(len(own) for own, _ in rest)])[:-1]
+        count[~merged] = [len(own) for own, _ in rest]
+        ids, sizes = (
+            np.concatenate([done, np.array([x for own in rest for x in own[k]], np.int32)]) for k, done in enumerate((ids, sizes))
+        )
+        self._table.add(keys, np.arange(len(self._key), len(self._key) + len(keys), dtype=np.int32))
+        more = (keys, begin + len(self._points), width, first + len(self._ids), count, np.zeros(len(keys), np.int64), points, ids, sizes)
+        self._key, self._begin, self._width, self._first, self._count, self._used, self._points, self._ids, self._sizes = (
+            np.concatenate(both) for both in zip(self._remembered(), more)
+        )
+
+    def _remembered(self) -> tuple[np.ndarray, ...]:
+        return self._key, self._begin, self._width, self._first, self._count, self._used, self._points, self._ids, self._sizes
+
+    def _keep_most_used(self) -> None:
+        """Forget all but half as many chunks as may be remembered; uses count half from now on."""
+        kept = np.sort(np.argsort(-self._used, kind="stable")[: REMEMBERED // 2])
+        self._key, self._width, self._count, self._used = self._key[kept], self._width[kept], self._count[kept], self._used[kept] // 2
+        self._points = self._points[_ranges(self._begin[kept], self._width)]
+        places = _ranges(self._first[kept], self._count)
+        self._ids, self._sizes = self._ids[places], self._sizes[places]
+        self._begin, self._first = np.cumsum(self._width) - self._width, np.cumsum(self._count) - self._count
+        self._table = _Table(REMEMBERED)
+        self._table.add(self._key, np.arange(len(kept), dtype=np.int32))
+
+    def _long_pieces(self, points: np.ndarray) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        chunk = _string(points)
+        known = self._long.get(chunk)
+        if known is None:
+            known = self._pieces(chunk)
+            self._long_characters += len(chunk)
+            if self._long_characters > AT_ONCE:
+                self._long.clear()
+                self._long_characters = len(chunk)
+            if len(chunk) <= AT_ONCE:
+                self._long[chunk] = known
+        return known
+
+    @staticmethod
+    def _merge_none(points: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, ...]:
+        none = np.zeros(0, np.int32)
+        return np.zeros(len(width), bool), *np.zeros((2, len(width)), np.int64), none, none
+
+    def _merge_many(self, points: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Chunks whose characters are all pieces, merged side by side: which ones, and for these the place and the
+        number of their ids, the ids, and their sizes.
+
+        In each round the best pair of every chunk is joined, the first of equally good ones; chunks without a pair
+        are done and leave.
+        """
+        parts = self._character[np.minimum(points, len(self._character) - 1)]
+        merged = np.minimum.reduceat(parts, np.cumsum(width) - width) >= 0
+        n_chunks = len(width)
+        if not merged.any():
+            return self._merge_none(points, width)
+        parts, who, width = parts[np.repeat(merged, width)], np.flatnonzero(merged), width[merged]
+        pairs = np.full(len(parts), -1, np.int32)
+        pairs[:-1] = self._pairs(parts[:-1].astype(np.int64) << 32 | parts[1:])
+        pairs[np.cumsum(width) - 1] = -1
+        first, count = np.zeros((2, n_chunks), np.int64)
+        done, n_done = [], 0
+        none = int(self._rank[-1]) << 32
+        while len(who):
+            start = np.cumsum(width) - width
+            best = np.minimum.reduceat((self._rank[pairs] << 32) + np.arange(len(pairs)), start)
+            on = best < none
+            stay = np.repeat(on, width)
+            if not on.all():
+                ready = ~on
+                count[who[ready]] = width[ready]
+                first[who[ready]] = n_done + np.cumsum(width[ready]) - width[ready]
+                done.append(parts[~stay])
+                n_done += len(done[-1])
+            place = best[on] & 0xFFFFFFFF
+            parts[place] = pairs[place]
+            stay[place + 1] = False
+            parts, pairs = parts[stay], pairs[stay]
+            place -= start[on]
+            who, width = who[on], width[on] - 1
+            # the pairs that begin and end with what was joined are new
+            start = np.cumsum(width) - width
+            after, before = place + 1 < width, place > 0
+            place += start
+            pairs[place[~after]] = -1
+            at = np.concatenate([place[after], place[before] - 1])
+            pairs[at] = self._pairs(parts[at].astype(np.int64) << 32 | parts[at + 1])
+        ids = np.concatenate(done)
+        return merged, first, count, ids, self._piece_size[ids]
 
     def _pieces(self, chunk: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
         parts = self._merge_short(chunk) if len(chunk) <= _SHORT else self._merge_long(chunk)
@@ -313,6 +565,43 @@ def _codec(model: bytes) -> tuple[PieceEncoder, sentencepiece.SentencePieceProce
     return _loaded[key]
 
 
+def _groups(texts: pa.Array) -> Iterator[list[bytes]]:
+    """The texts in a row, ``AT_ONCE`` bytes or one text at a time; nulls are empty."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(ends):
+        most = AT_ONCE + (ends[at - 1] if at else 0)
+        end = max(at + 1, int(np.searchsorted(ends, most, side="right")))
+        yield [text or b"" for text in texts.slice(at, end - at).to_pylist()]
+        at = end
+
+
+class _Written:
+    """Ids in decimals, with commas between them, as digests of each text's."""
+
+    def __init__(self, n_ids: int):
+        names = [f"{number},".encode() for number in range(n_ids)]
+        self._size = np.array(list(map(len, names)), np.int64)
+        self._name = np.array(names, f"S{max(map(len, names))}")
+        self._name = self._name.view(np.uint8).reshape(n_ids, -1)
+
+    def sha256(self, ids: np.ndarray, edges: np.ndarray) -> list[str]:
+        letters = self._name[ids].ravel()
+        written = letters[letters > 0]
+        at = np.concatenate([[0], np.cumsum(self._size[ids])])[edges].tolist()
+        return [hashlib.sha256(written[a : max(a, b - 1)]).hexdigest() for a, b in itertools.pairwise(at)]
+
+
+def _decoded_sha256(decoder: sentencepiece.SentencePieceProcessor, ids: np.ndarray, edges: np.ndarray) -> list[str]:
+    numbers = ids.tolist()
+    texts = (decoder.decode(numbers[a:b]) if a < b else "" for a, b in itertools.pairwise(edges.tolist()))
+    return [hashlib.sha256(text.encode()).hexdigest() for text in texts]
+
+
+def _lists(flat: np.ndarray, sizes: list[int], kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat, kind))
+
+
 def encode_udf(model: bytes):
     """Column function of a binary text: struct of ``ids``, ``starts`` and ``ends`` (byte offsets)."""
 
@@ -320,12 +609,17 @@ def encode_udf(model: bytes):
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, _ = _codec(model)
         for batch in texts:
-            rows = [encoder.encode(text or b"") for text in batch.to_pylist()]
+            ids, starts, ends, sizes = array("i"), array("q"), array("q"), []
+            for group in _groups(batch):
+                *columns, edges = encoder.encode_many(group)
+                for column, values in zip((ids, starts, ends), columns):
+                    column.frombytes(values.tobytes())
+                sizes += np.diff(edges).tolist()
             yield pa.StructArray.from_arrays(
                 [
-                    pa.array([ids for ids, _, _ in rows], pa.list_(pa.int32())),
-                    pa.array([starts for _, starts, _ in rows], pa.list_(pa.int64())),
-                    pa.array([ends for _, _, ends in rows], pa.list_(pa.int64())),
+                    _lists(np.frombuffer(ids, np.int32), sizes, pa.int32()),
+                    _lists(np.frombuffer(starts, np.int64), sizes, pa.int64()),
+                    _lists(np.frombuffer(ends, np.int64), sizes, pa.int64()),
                 ],
                 ["ids", "starts", "ends"],
             )
@@ -355,17 +649,22 @@ def round_trip_udf(model: bytes):
     @F.arrow_udf("struct<n_tokens: long, ids_sha256: string, decoded_sha256: string, covered_bytes: long>")
     def round_trip(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, decoder = _codec(model)
-        names = [str(number) for number in range(decoder.get_piece_size())]
+        written = _Written(decoder.get_piece_size())
         for batch in texts:
             sizes, digests, decoded, covered = [], [], [], []
-            for text in batch.to_pylist():
-                ids, starts, ends = encoder.encode(text or b"")
-                sizes.append(len(ids))
-                digests.append(hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest())
-                decoded.append(hashlib.sha256(decoder.decode(ids).encode() if ids else b"").hexdigest())
-                covered.append(int((ends - starts).sum()))
+            for group in _groups(batch):
+                ids, starts, ends, edges = encoder.encode_many(group)
+                sizes += np.diff(edges).tolist()
+                digests += written.sha256(ids, edges)
+                decoded += _decoded_sha256(decoder, ids, edges)
+                covered += np.diff(np.concatenate([[0], np.cumsum(ends - starts)])[edges]).tolist()
             yield pa.StructArray.from_arrays(
-                [pa.array(sizes, pa.int64()), pa.array(digests), pa.array(decoded), pa.array(covered, pa.int64())],
+                [
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.string()),
+                    pa.array(decoded, pa.string()),
+                    pa.array(covered, pa.int64()),
+                ],
                 ["n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes"],
             )
 
@@ -378,19 +677,22 @@ def tokens_udf(model: bytes):
     @F.arrow_udf("struct<ids: array<int>, ids_sha256: string, decoded_sha256: string>")
     def tokens(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, decoder = _codec(model)
-        names = [str(number) for number in range(decoder.get_piece_size())]
+        written = _Written(decoder.get_piece_size())
         for batch in texts:
-            parts, digests, decoded = [], [], []
-            for text in batch.to_pylist():
-                ids, _, _ = encoder.encode(text or b"")
-                # four bytes an id while the batch is made, not a list of numbers
-                parts.append(np.array(ids, np.int32))
-                digests.append(hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest())
-                decoded.append(hashlib.sha256(decoder.decode(ids).encode() if ids else b"").hexdigest())
-            offsets = np.concatenate([[0], np.cumsum([len(part) for part in parts])]).astype(np.int32)
-            flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
+            # four bytes an id while the batch is made, not a list of numbers
+            flat, sizes, digests, decoded = array("i"), [], [], []
+            for group in _groups(batch):
+                ids, _, _, edges = encoder.encode_many(group)
+                flat.frombytes(ids.tobytes())
+                sizes += np.diff(edges).tolist()
+                digests += written.sha256(ids, edges)
+                decoded += _decoded_sha256(decoder, ids, edges)
             yield pa.StructArray.from_arrays(
-                [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
+                [
+                    _lists(np.frombuffer(flat, np.int32), sizes, pa.int32()),
+                    pa.array(digests, pa.string()),
+                    pa.array(decoded, pa.string()),
+                ],
                 ["ids", "ids_sha256", "decoded_sha256"],
             )
 
